@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsloom.functions.reuse import shared
+
 PIECES = 64
 
 
@@ -25,26 +27,29 @@ def with_piece(df: DataFrame, value: str, pieces: int = PIECES) -> DataFrame:
     """
     steps = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     edges = df.agg(F.percentile_approx(value, steps, F.lit(1000)).alias("edges"))
+    # coalesce keeps the piece non-null, so no null test on it is pushed below the counts.
+    below = F.filter(F.coalesce("_edges", F.array().cast("array<double>")), lambda e: e < F.col(value))
     return df.withColumn("_edges", edges.scalar()).withColumn(
-        "_piece", F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    ).drop("_edges")
+        "_piece", F.coalesce(F.size(below), F.lit(0))).drop("_edges")
 
 
 def exact_percentiles(
     df: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str] = (),
-    pieces: int = PIECES,
+    weight: str | None = None, pieces: int = PIECES,
 ) -> DataFrame:
     """Exact interpolated percentiles of `value` per group, one column per name.
 
     Nulls and NaN are left out, as are rows whose group key is null; groups with no value
-    do not appear. Positions follow (n - 1) * p with linear interpolation.
+    do not appear. Positions follow (n - 1) * p with linear interpolation. With `weight`, a row
+    stands for that many equal rows.
     """
     by = list(by)
     known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     for key in by:
         known = known.where(F.col(key).isNotNull())
-    counts = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    counts = with_piece(counts, "_v", pieces)
+    counts = known.groupBy(*by, F.col(value).alias("_v")).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
+    counts = with_piece(shared(counts), "_v", pieces)
 
     # At most `pieces` rows per group reach this window.
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -99,7 +104,7 @@ def running_totals(
     `df` holds one row per distinct `order` value. The sort is split into pieces, so no
     task sees more than about 1/pieces of the rows.
     """
-    cut = with_piece(df, order, pieces)
+    cut = with_piece(shared(df), order, pieces)
 
     def direction(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)

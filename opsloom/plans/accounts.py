@@ -107,8 +107,7 @@ def _(t: Tables):
 
 
 @query("fill_null_inf", f"""
-SELECT account_key, {", ".join(f"r4(coalesce({c}, 0)::DOUBLE) AS {c}" for c in accounts.FEATURES)}, label
-FROM ({{inner}})""".replace("{inner}", "SELECT * FROM features").replace(
-    "\nSELECT account_key, round", f"WITH features AS (SELECT * FROM ({FEATURES_SQL}))\nSELECT account_key, round", 1))
+SELECT account_key, {", ".join(f"r4(coalesce({c}, 0)) AS {c}" for c in accounts.FEATURES)}, label
+FROM ({FEATURES_SQL})""")
 def _(t: Tables):
     return rounded(accounts.fill_null_inf(accounts.account_features(t.view("v_transactions"))))

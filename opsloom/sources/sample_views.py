@@ -95,3 +95,23 @@ SELECT load_pos,
   CASE WHEN agent_id % 2 = 0 THEN 'extract_2024' ELSE 'extract_2025' END AS source_file
 FROM v_tasks
 """
+
+# Tasks after the range rules, with the contract of the agent and the usual complexity labels.
+VIEW_SQL["v_tasks_clean"] = """
+SELECT task_id, load_pos, agent_id, service, process, created, taken,
+  CASE WHEN closed < created THEN NULL ELSE closed END AS closed,
+  CASE WHEN minutes >= 0 THEN minutes END AS minutes, CASE WHEN volume <= 500 THEN volume END AS volume, status,
+  CASE WHEN complexity = 'Medium' THEN 'Moyen' WHEN complexity = 'Complex' THEN 'Complexe' ELSE complexity END AS complexity,
+  CASE WHEN agent_id % 6 = 0 THEN 'CDI' WHEN agent_id % 6 = 1 THEN 'CDD' WHEN agent_id % 6 = 2 THEN 'Alternant'
+       WHEN agent_id % 6 = 3 THEN 'Prestataire' WHEN agent_id % 6 = 4 THEN 'Temps partiel' ELSE 'Autre' END AS contract
+FROM v_tasks
+"""
+# Agents with their service and contract label.
+VIEW_SQL["v_roster"] = """
+SELECT agent_id, agent_name, worktime, entered, contract_end,
+  CASE WHEN agent_id % 6 = 0 THEN 'STANDARD' WHEN agent_id % 6 = 1 THEN 'MEDIUM' WHEN agent_id % 6 = 2 THEN 'PROMO'
+       WHEN agent_id % 6 = 3 THEN 'LARGE' WHEN agent_id % 6 = 4 THEN 'SMALL' ELSE 'ECONOMY' END AS service,
+  CASE WHEN contract_code = 0 THEN 'CDI' WHEN contract_code = 1 THEN 'CDD' WHEN contract_code = 2 THEN 'Alternant'
+       WHEN contract_code = 3 THEN 'Prestataire' WHEN contract_code = 4 THEN 'Temps partiel' ELSE 'Autre' END AS contract
+FROM v_agents
+"""
