@@ -25,8 +25,8 @@ def with_piece(df: DataFrame, value: str, pieces: int = PIECES) -> DataFrame:
 
     Only the balance of the pieces depends on the approximation, never a result.
     """
-    steps = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    edges = df.agg(F.percentile_approx(value, steps, F.lit(1000)).alias("edges"))
+    steps = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
+    edges = df.agg(F.expr(f"percentile_approx({value}, array({steps}), 1000)").alias("edges"))
     # coalesce keeps the piece non-null, so no null test on it is pushed below the counts.
     below = F.filter(F.coalesce("_edges", F.array().cast("array<double>")), lambda e: e < F.col(value))
     return df.withColumn("_edges", edges.scalar()).withColumn(
