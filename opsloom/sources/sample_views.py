@@ -115,3 +115,20 @@ SELECT agent_id, agent_name, worktime, entered, contract_end,
        WHEN contract_code = 3 THEN 'Prestataire' WHEN contract_code = 4 THEN 'Temps partiel' ELSE 'Autre' END AS contract
 FROM v_agents
 """
+
+# Scored tasks: the lower the score, the stranger the task.
+VIEW_SQL["v_anomalies"] = """
+SELECT task_id, load_pos, agent_id, service, process, created, complexity, minutes, volume,
+  CASE WHEN minutes > 0 THEN volume / (minutes / 60) END AS items_per_hour,
+  round(0.25 - volume / 1000.0 - CASE WHEN minutes IS NULL THEN 0.1 ELSE 0 END, 3) AS anomaly_score,
+  CASE WHEN 0.25 - volume / 1000.0 - CASE WHEN minutes IS NULL THEN 0.1 ELSE 0 END < -0.2 THEN 1 ELSE 0 END AS is_anomaly
+FROM v_tasks
+"""
+# Late predictions against what happened, with a risk score per task.
+VIEW_SQL["v_risk"] = """
+SELECT task_id, load_pos, agent_id, service, process, created, status, complexity,
+  CASE WHEN volume > 300 THEN 1 ELSE 0 END AS late_actual,
+  CASE WHEN minutes > 120 AND volume > 200 THEN 1 ELSE 0 END AS late_predicted,
+  round(volume / 600.0, 4) AS risk_score, CASE WHEN volume / 600.0 >= 0.45 THEN 1 ELSE 0 END AS at_risk
+FROM v_tasks
+"""
