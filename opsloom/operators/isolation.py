@@ -34,7 +34,7 @@ def sample_per_tree(df: DataFrame, ids: Sequence[str], trees: int, rows: int, se
     n = df.agg(F.count(F.lit(1)).alias("n"))
     share = F.lit(1.3 * rows) / F.greatest(n.scalar(), F.lit(1))
     drawn = df.withColumn("_p", share).withColumn("_id", F.xxhash64(F.lit(seed), *ids))
-    draw = lambda t: F.bitwise_and(F.xxhash64("_id", t), F.lit((1 << 62) - 1)) / float(1 << 62)
+    draw = lambda t: F.xxhash64("_id", t).bitwiseAND(F.lit((1 << 62) - 1)) / float(1 << 62)
     tagged = drawn.withColumn("tree", F.explode(F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < F.col("_p"))))
     # Only about 1.3 x rows candidates of a tree reach this window.

@@ -4,20 +4,20 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from opsloom.functions.reuse import shared
 from opsloom.operators import accounts, decisions, forecast, isolation, metrics, models, timeseries, workload
 from opsloom.plans.catalogue import Tables, query, rounded
 from opsloom.plans.decisions import fte
 from opsloom.plans.timeseries import business, load_global, load_service, next_days
 from opsloom.plans.timeseries import forecast as volume_forecast
 from opsloom.plans.workload import detail
+from opsloom.sources.tables import staged
 
-TREES, ROUNDS = 20, 10
+TREES, ROUNDS = 20, 5
 
 
 def account_split(t: Tables):
-    rows = shared(accounts.fill_null_inf(accounts.account_features(t.view("v_transactions"))))
-    split = shared(metrics.stratified_split(rows, "label", ["account_key"]))
+    rows = staged(accounts.fill_null_inf(accounts.account_features(t.view("v_transactions"))), "accounts")
+    split = staged(metrics.stratified_split(rows, "label", ["account_key"]), "account_split")
     return {name: split.where(F.col("split") == name) for name in ("train", "validation", "test")}
 
 
@@ -69,8 +69,9 @@ RISK_FEATURES = ("complexity_rank", "contract_productivity", "agent_day_tasks",
 
 
 def risk_rows(t: Tables):
-    rows = workload.late_target(shared(detail(t))).na.drop(subset=list(RISK_FEATURES))
-    return shared(timeseries.chrono_split(rows, "created", ["task_id", "load_pos"]))
+    rows = staged(detail(t).select("task_id", "load_pos", "created", "service", "status", "handling_days", *RISK_FEATURES), "detail")
+    late = workload.late_target(rows).na.drop(subset=list(RISK_FEATURES))
+    return rows, staged(timeseries.chrono_split(late, "created", ["task_id", "load_pos"]), "risk")
 
 
 def risk_tree(rows, depths=(4,), leaves=(20,)):
@@ -79,17 +80,16 @@ def risk_tree(rows, depths=(4,), leaves=(20,)):
 
 @query("train_tree_classifier")
 def _(t: Tables):
-    return rounded(risk_tree(risk_rows(t), (4, 6, 8), (20, 50, 100)).results)
+    return rounded(risk_tree(risk_rows(t)[1], (4, 6, 8), (20, 50)).results)
 
 
 @query("score_open_items")
 def _(t: Tables):
-    rows = risk_rows(t)
+    tasks, rows = risk_rows(t)
     model = risk_tree(rows).model
     held = models.probability(model.transform(rows.where("split = 'validation'")))
     threshold = metrics.threshold_by_fbeta(metrics.pr_curve(held, "score", "late")).first()[0]
-    open_items = detail(t).where("status = 'O'")
-    return rounded(models.score_open_items(model, open_items, RISK_FEATURES, threshold, ["task_id", "load_pos", "service", "created"]))
+    return rounded(models.score_open_items(model, tasks.where("status = 'O'"), RISK_FEATURES, threshold, ["task_id", "load_pos", "service", "created"]))
 
 
 @query("train_logistic")
@@ -111,7 +111,7 @@ def load_rows(t: Tables):
     days = workload.active_events_per_day(days, t.view("v_events_mgr"))
     days = workload.cyclic_encode(workload.calendar_features(days, "day"))
     rows = days.select("day", *[F.col(c).cast("double").alias(c) for c in LOAD_FEATURES], "load").na.drop()
-    return shared(timeseries.chrono_split(rows, "day", ["volume_lag_1"]))
+    return staged(timeseries.chrono_split(staged(rows, "load"), "day", ["volume_lag_1"]), "load_split")
 
 
 def _parts(rows):
@@ -152,7 +152,7 @@ def volume_series(t: Tables):
     parts = load_service(t).where(F.weekday("day") < 5).select("service", "day", F.col("volume").cast("double").alias("y"))
     total = parts.groupBy("day").agg(F.sum("y").alias("y")).withColumn("service", F.lit("ALL"))
     rows = parts.unionByName(total).withColumnRenamed("service", "series")
-    return shared(workload.active_events_per_day(rows, t.view("v_events_mgr")))
+    return staged(workload.active_events_per_day(rows, t.view("v_events_mgr")), "volumes")
 
 
 @query("train_seasonal_arx")
@@ -172,7 +172,7 @@ def _(t: Tables):
 
 @query("load_forecast_recursive")
 def _(t: Tables):
-    daily = shared(load_global(t))
+    daily = staged(load_global(t), "daily")
     made = volume_forecast(t, daily)
     staffed = decisions.event_adjusted_forecast(
         made, workload.active_events_per_day(made.select("day"), t.view("v_events_mgr").withColumn(
@@ -202,7 +202,8 @@ TASK_IDS = ["task_id", "load_pos"]
 def anomaly_rows(t: Tables):
     rows = workload.ordinal_coefficients(workload.productivity(workload.duration_features(t.view("v_tasks_clean"))))
     rows = rows.select(*TASK_IDS, "service", "created", *[F.col(c).cast("double").alias(c) for c in ANOMALY_FEATURES])
-    return shared(timeseries.chrono_split(rows.na.drop(subset=list(ANOMALY_FEATURES)), "created", TASK_IDS))
+    known = staged(rows.na.drop(subset=list(ANOMALY_FEATURES)), "anomaly")
+    return staged(timeseries.chrono_split(known, "created", TASK_IDS), "anomaly_split")
 
 
 @query("train_isolation_forest")
@@ -230,7 +231,7 @@ def _(t: Tables):
 @query("anomaly_drivers")
 def _(t: Tables):
     rows = anomaly_rows(t)
-    nodes = shared(isolation.train(rows.where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS, trees=50))
+    nodes = staged(isolation.train(rows.where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS, trees=50), "nodes")
     return rounded(isolation.drivers(rows, nodes, ANOMALY_FEATURES, TASK_IDS), 6)
 
 

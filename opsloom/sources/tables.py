@@ -20,6 +20,17 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{(base or tempfile.mkdtemp(prefix='opsloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a stage of a longer job to the shared folder and go on from the table.
+
+    Training reads its rows many times; from a table each pass is a short scan, and a lost
+    executor never has to run the feature job again.
+    """
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def normal_header(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 
