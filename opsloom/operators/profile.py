@@ -77,16 +77,23 @@ def mean_by_flags(df: DataFrame, value: str, flags: Sequence[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pearson coefficients of many column pairs from one pass."""
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
-                     for i, (a, b) in enumerate(pairs)])
-    return one.select(F.explode(rows).alias("r")).select("r.*")
+    """Pearson coefficients of column pairs from one pass; rows with a null in a pair are left out of it.
+
+    Each row is expanded to its pairs and merged at once on the map side: one small aggregate
+    runs compiled, where a wide one with a coefficient per pair is too large for that.
+    """
+    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
+                              F.col(b).cast("double").alias("y")) for a, b in pairs])
+    return df.select(F.explode(rows).alias("r")).groupBy("r.a", "r.b").agg(F.corr("r.x", "r.y").alias("corr"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return correlations(df, [(a, b) for a in columns for b in columns])
+    """All ordered pairs; each unordered pair is computed once and shown both ways."""
+    names = list(columns)
+    half = correlations(df, [(a, b) for i, a in enumerate(names) for b in names[i:]])
+    here, there = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = F.when(F.col("a") == F.col("b"), F.array(here)).otherwise(F.array(here, there))
+    return half.select(F.explode(both).alias("p"), "corr").select("p.a", "p.b", "corr")
 
 
 def correlation_ranked(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

@@ -139,9 +139,21 @@ def with_load(volumes: DataFrame, fte: DataFrame, keys: Sequence[str]) -> DataFr
         "load", F.when(F.col("fte") > 0, F.col("volume") / F.col("fte")))
 
 
+def day_cells(tasks: DataFrame) -> DataFrame:
+    """Counts and sums per day, service and handling time, from one pass over the tasks.
+
+    Handling time has at most 91 values, so the table stays within days x services x 91 rows;
+    every daily figure is rolled up from it.
+    """
+    rows = ordinal_coefficients(duration_features(tasks))
+    return shared(rows.groupBy(F.col("created").alias("day"), "service", "handling_days").agg(
+        F.count(F.lit(1)).alias("n_tasks"), F.sum("volume").alias("volume"), F.sum("minutes").alias("minutes"),
+        F.count("minutes").alias("n_minutes"), F.sum("complexity_rank").alias("ranks")))
+
+
 def volume_per_day_service(tasks: DataFrame) -> DataFrame:
-    return shared(tasks.groupBy(F.col("created").alias("day"), "service").agg(
-        F.count(F.lit(1)).alias("n_tasks"), F.coalesce(F.sum("volume"), F.lit(0)).alias("volume")))
+    return day_cells(tasks).groupBy("day", "service").agg(
+        F.sum("n_tasks").alias("n_tasks"), F.coalesce(F.sum("volume"), F.lit(0)).alias("volume"))
 
 
 def load_per_day(tasks: DataFrame, days: DataFrame) -> DataFrame:
@@ -163,11 +175,11 @@ def overload_alert(load: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _daily(tasks: DataFrame, load: DataFrame, keys: Sequence[str]) -> DataFrame:
-    rows = ordinal_coefficients(duration_features(tasks)).withColumnRenamed("created", "day")
-    means = rows.groupBy(*keys).agg(F.avg("minutes").alias("mean_minutes"),
-                                    F.avg("complexity_rank").alias("mean_complexity"))
-    median = exact_percentiles(rows.select(*keys, "handling_days"), "handling_days",
-                               {"median_handling_days": 0.5}, by=keys)
+    cells = day_cells(tasks)
+    means = cells.groupBy(*keys).agg(
+        F.try_divide(F.sum("minutes"), F.sum("n_minutes").cast("double")).alias("mean_minutes"),
+        (F.sum("ranks") / F.sum("n_tasks")).alias("mean_complexity"))
+    median = exact_percentiles(cells, "handling_days", {"median_handling_days": 0.5}, by=keys, weight="n_tasks")
     calendar = {k: v for k, v in calendar_columns("day").items() if k in (
         "weekday", "month", "quarter", "is_month_end", "is_quarter_end", "is_monday", "is_friday",
         "week_of_month")}
