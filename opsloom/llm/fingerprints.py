@@ -73,15 +73,25 @@ class PrefixArrays:
         return (parts[0] << U(31)) | parts[1]
 
     def span(self, start: int, end: int) -> int:
-        return int(self.spans(np.array([start]), np.array([end]))[0])
+        """Hash of one span in plain integers: array calls cost more than the sums for a single span."""
+        one, two = (
+            (int(sums[end]) - int(sums[start])) * pow(base, -start, PRIME) % PRIME for base, sums in zip(BASES, self.sums)
+        )
+        return one << 31 | two
 
 
 def longest_extension(a: PrefixArrays, i: int, b: PrefixArrays, j: int) -> int:
     """Length of the longest common run from a[i] and b[j], by binary search over span hashes."""
     low, high = 0, min(a.n - i, b.n - j)
+    sides = [
+        (x, int(x[i]), pow(base, j, PRIME), y, int(y[j]), pow(base, i, PRIME))
+        for base, x, y in zip(BASES, a.sums, b.sums)
+    ]
     while low < high:
         middle = (low + high + 1) // 2
-        if a.span(i, i + middle) == b.span(j, j + middle):
+        # both spans brought to the power i + j, so that no inverse is needed
+        if all((int(x[i + middle]) - x0) * up % PRIME == (int(y[j + middle]) - y0) * other % PRIME
+               for x, x0, up, y, y0, other in sides):
             low = middle
         else:
             high = middle - 1
