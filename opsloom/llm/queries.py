@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from opsloom.llm.archives import page_records, read_archives, write_archives
 from opsloom.llm.fingerprints import fingerprint_neighbours
+from opsloom.llm.shared import shared_folder
+from opsloom.llm.tokens import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,9 +20,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(_table(spark, sf_dir, "pages"), shared_folder(spark, "warc"), least_bytes=0)
+    return page_records(read_archives(archives, payloads=False))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
 
 
-for _query in (op7_document_fingerprints,):
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                              shared_folder(spark, "tokens"))
+    return read_token_files(files, whole=False)
+
+
+for _query in (op3_warc_archives, op7_document_fingerprints, op9_token_files):
     QUERIES[_query.__name__] = _query
