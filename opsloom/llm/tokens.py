@@ -33,18 +33,27 @@ MAGIC = b"OLTOK\x01\x00\x00"
 RUN = 256  # ids between two checkpoints
 BLOCK = 1 << 20  # ids in a block
 END_ID = 0
-MOST_PIECES = 400_000
+MARKS = ".,;:!?*$%&#-()\""
+MOST_PIECES = 1_200_000
 
 
 class _Pieces(dict):
-    """Number of each piece seen with one prefix; new pieces are queued for the tokenizer."""
+    """Number of each piece seen with one prefix; new pieces are queued for the tokenizer.
 
-    def __init__(self, prefix: str, queue: list[str], first: int):
-        self.prefix, self.queue, self.first = prefix, queue, first
+    ASCII marks that follow a letter or digit always start a piece of their own, so a word with
+    marks behind it is queued as a pair of two known pieces. The apostrophe is left in the word.
+    """
+
+    def __init__(self, prefix: str, encoder: "Encoder"):
+        self.prefix, self.encoder = prefix, encoder
 
     def __missing__(self, piece: str) -> int:
-        number = self[piece] = self.first + len(self.queue)
-        self.queue.append(self.prefix + piece)
+        word = piece.rstrip(MARKS)
+        if word != piece and word and word[-1].isalnum():
+            entry = (self[word], self.encoder.known[0][piece[len(word) :]])
+        else:
+            entry = self.prefix + piece
+        number = self[piece] = self.encoder.add(entry)
         return number
 
 
@@ -66,20 +75,40 @@ class Encoder:
 
     def reset(self) -> None:
         self.ids = np.array([END_ID], np.uint32)
-        self.starts = np.array([0, 1], np.int64)
-        self.queue: list[str] = []
-        self.known = [_Pieces(prefix, self.queue, 1) for prefix in ("", " ", "\n")]
+        self.starts, self.sizes = np.array([0], np.int64), np.array([1], np.int64)
+        self.queue: list[str | tuple[int, int]] = []
+        self.known = [_Pieces(prefix, self) for prefix in ("", " ", "\n")]
+
+    def add(self, entry: str | tuple[int, int]) -> int:
+        self.queue.append(entry)
+        return len(self.starts) + len(self.queue) - 1
+
+    def _take(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids of the pieces, one after the other."""
+        sizes = self.sizes[numbers]
+        upto = np.cumsum(sizes)
+        return self.ids[np.repeat(self.starts[numbers] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
 
     def _learn(self) -> None:
-        if self.queue:
-            new = [e.ids for e in self.tokenizer.encode_batch_fast(self.queue, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, new), np.int64, len(new))
-            ids = np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(sizes.sum()))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, ids])
-            self.queue.clear()
-            for known in self.known:
-                known.first = len(self.starts) - 1
+        if not self.queue:
+            return
+        first = len(self.starts)
+        whole = [k for k, x in enumerate(self.queue) if type(x) is str]
+        pairs = [k for k, x in enumerate(self.queue) if type(x) is tuple]
+        new = [e.ids for e in self.tokenizer.encode_batch_fast([self.queue[k] for k in whole], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        ids = np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(sizes.sum()))
+        more = np.zeros(len(self.queue), np.int64)
+        self.starts, self.sizes = np.concatenate([self.starts, more]), np.concatenate([self.sizes, more])
+        at = first + np.array(whole, np.int64)
+        self.sizes[at], self.starts[at] = sizes, len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, ids])
+        if pairs:
+            both, at = np.array([self.queue[k] for k in pairs], np.int64), first + np.array(pairs, np.int64)
+            sizes = self.sizes[both].sum(axis=1)
+            self.sizes[at], self.starts[at] = sizes, len(self.ids) + np.cumsum(sizes) - sizes
+            self.ids = np.concatenate([self.ids, self._take(both.reshape(-1))])
+        self.queue.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, the end id after each text, and the number of ids per text."""
@@ -106,10 +135,18 @@ class Encoder:
             ends[k] = len(numbers)
         self._learn()
         chosen = np.array(numbers, np.int64)
-        starts, sizes = self.starts[chosen], self.starts[chosen + 1] - self.starts[chosen]
-        upto = np.cumsum(sizes)
-        ids = self.ids[np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
-        return ids, np.diff(np.concatenate([[0], upto[ends - 1]])) if len(texts) else np.zeros(0, np.int64)
+        upto = np.cumsum(self.sizes[chosen])
+        return self._take(chosen), np.diff(np.concatenate([[0], upto[ends - 1]])) if len(texts) else np.zeros(0, np.int64)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder per Python worker: its pieces serve the worker's next tasks too."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -264,7 +301,7 @@ def _tokenize(folder: str, tokenizer: str):
     """Write the ids of each partition to an Arrow file; returns its row of the manifest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         kind = pa.uint16() if encoder.size <= 1 << 16 else pa.uint32()
         schema = pa.schema([("place", pa.int64()), ("ids", pa.large_list(kind))])
         # a name of its own for each attempt: a repeated task never touches a finished file
