@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from opsloom.llm import licences, mixing
 from opsloom.llm.archives import page_records, read_archives, write_archives
 from opsloom.llm.fingerprints import fingerprint_neighbours
 from opsloom.llm.shared import shared_folder
@@ -20,6 +21,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixture(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0, shards=64)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(_table(spark, sf_dir, "pages"), shared_folder(spark, "warc"), least_bytes=0)
     return page_records(read_archives(archives, payloads=False))
@@ -35,5 +45,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files, whole=False)
 
 
-for _query in (op3_warc_archives, op7_document_fingerprints, op9_token_files):
+for _query in (op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
     QUERIES[_query.__name__] = _query
+
+SQL["op1_source_mix"] = mixing.CHECK_SQL
+SQL["op6_licence_scan"] = licences.check_sql()
