@@ -13,8 +13,8 @@ def rows_of(spark, texts):
 
 
 def test_variants_are_found(spark):
-    varied = "Copyright (c) 2001 A. Body\n(C) 2002 B\nCOPYRIGHT 2003\n" + MIT.upper().replace(" ", "\t \n ").replace('"', "“").replace("SUBLICENSE", "sublicence")
-    got = rows_of(spark, [MIT, varied, MIT + " and more", MIT.replace("LICENSE", "licence licence")])
+    varied = "Copyright (c) 2001 A. Body\n(C) 2002 B\nCOPYRIGHT 2003\n" + MIT.upper().replace(" ", "\t  ").replace('"', "“").replace("SUBLICENSE", "sublicence")
+    got = rows_of(spark, [MIT, varied, MIT + " and more", MIT.replace("MIT License", "MIT licence licence")])
     assert [g[3] for g in got if g[1] == "text"] == ["MIT", "MIT", None, None]
     assert got[0][4] == got[1][4]
 
