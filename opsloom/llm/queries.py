@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import licences, mixing
+from opsloom.llm import licences, mixing, quality
 from opsloom.llm.archives import page_records, read_archives, write_archives
 from opsloom.llm.fingerprints import fingerprint_neighbours
 from opsloom.llm.shared import shared_folder
@@ -45,7 +45,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files, whole=False)
 
 
-for _query in (op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
+def op10_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), most_documents=5000)
+    return quality.score(docs, model, threshold=0.3)
+
+
+for _query in (op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
     QUERIES[_query.__name__] = _query
 
 SQL["op1_source_mix"] = mixing.CHECK_SQL
