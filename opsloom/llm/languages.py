@@ -86,7 +86,9 @@ def text_evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
                 seen = np.bincount(row, minlength=n)
                 scale = np.minimum(seen, EVIDENCE) / np.maximum(seen, 1)
                 sums = np.stack([np.bincount(row, weights=logs[bins], minlength=n) * scale for logs in table], 1)
-                values = pa.array([s if k else None for s, k in zip(sums.tolist(), seen.tolist())], pa.list_(pa.float64()))
+                letters = np.concatenate([[0], np.cumsum(_LETTER[data] != 32)])[offsets]
+                told = (np.diff(letters) > 0).tolist()  # a letter or two without a trigram leave all languages even
+                values = pa.array([s if k else None for s, k in zip(sums.tolist(), told)], pa.list_(pa.float64()))
                 own = [batch.column(c).slice(first, n) for c in kept_places]
                 yield pa.RecordBatch.from_arrays(own + [values], kept + ["evidence"])
 

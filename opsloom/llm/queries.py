@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import languages, licences, mixing, quality
+from opsloom.llm import jaccard, languages, licences, mixing, quality
 from opsloom.llm.archives import page_records, read_archives, write_archives
 from opsloom.llm.fingerprints import fingerprint_neighbours
 from opsloom.llm.shared import shared_folder
@@ -55,7 +55,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
 
 
-for _query in (op4_language_id, op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.shingle_components(_table(spark, sf_dir, "documents"), percent=90, size=3)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+for _query in (op8_jaccard_join, op4_language_id, op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
     QUERIES[_query.__name__] = _query
 
 SQL["op1_source_mix"] = mixing.CHECK_SQL
