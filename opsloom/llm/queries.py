@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import jaccard, languages, licences, mixing, quality
+from opsloom.llm import decontamination, jaccard, languages, licences, mixing, quality
 from opsloom.llm.archives import page_records, read_archives, write_archives
 from opsloom.llm.fingerprints import fingerprint_neighbours
 from opsloom.llm.shared import shared_folder
@@ -60,7 +60,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
-for _query in (op8_jaccard_join, op4_language_id, op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "distance", "n_words", "end_word")
+
+
+for _query in (op5_benchmark_leaks, op8_jaccard_join, op4_language_id, op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
     QUERIES[_query.__name__] = _query
 
 SQL["op1_source_mix"] = mixing.CHECK_SQL
