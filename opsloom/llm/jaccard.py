@@ -2,10 +2,11 @@
 
 Documents with the same shingle set are one class. Links between classes are found in three steps.
 
-1. Candidates: 60 global token orders in 20 triples. Two classes come together if they have the same
-   first token under all three orders of some triple (the shortest prefix, intersected over three
-   orders). A pair at similarity 0.9 agrees in a triple with probability 0.729, so all 20 miss it
-   with probability 5e-12. The transitive closure of these groups are clusters; no pairs are formed.
+1. Candidates: global token orders in bundles of three (two below similarity 0.85). Two classes come
+   together if they have the same first token under all orders of some bundle (the shortest prefix,
+   intersected over the orders). A pair at similarity 0.9 agrees in a bundle of three with probability
+   0.729; there are so many bundles (20) that all miss it with a probability below 1e-11. The
+   transitive closure of these groups are clusters; no pairs are formed.
 2. In a cluster, classes must share a token of the lossless prefix (n - ceil(t n) + 1 tokens) under
    each of three further orders and have fitting sizes; the three filters are intersected.
 3. What is left is verified on the whole sets. Pairs already connected are skipped.
@@ -30,9 +31,8 @@ from opsloom.llm.arrays import U, mixed, shingled, slices, words
 from opsloom.llm.graph import components
 from opsloom.llm.shared import LOWEST, staged, tasks
 
-TRIPLES = 20
+MISS = 1e-11
 PART, PIVOTS = 200, 8
-_FACTORS = mixed(np.arange(1, 3 * TRIPLES + 1, dtype=U), 11) | U(1)
 FILTER_ORDERS = (101, 102, 103)
 
 
@@ -53,14 +53,30 @@ def class_name(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-def keys_of(tokens: np.ndarray) -> np.ndarray:
-    """One key per triple of orders; an order is a multiplication by an odd number modulo 2**64."""
-    firsts = np.array([(tokens * f).min() for f in _FACTORS]).reshape(TRIPLES, 3)
-    out = mixed(firsts[:, 0], 1) + mixed(firsts[:, 1], 2) * U(3) + mixed(firsts[:, 2], 3) * U(5)
-    return mixed(out + np.arange(TRIPLES, dtype=U)).view(np.int64)
+def bundles(percent: int) -> tuple[int, int]:
+    """(number of bundles, orders in each) for a similarity."""
+    width = 3 if percent >= 85 else 2
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** width)), width
 
 
-def _classes(size: int):
+def order_factors(percent: int) -> np.ndarray:
+    """One odd factor per order: an order is a multiplication modulo 2**64."""
+    n, width = bundles(percent)
+    return (mixed(np.arange(1, n * width + 1, dtype=U), 11) | U(1)).reshape(n, width)
+
+
+def keys_of(tokens: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """One key per bundle, from the first tokens under its orders."""
+    firsts = np.array([(tokens * f).min() for f in factors.reshape(-1)]).reshape(factors.shape)
+    out = np.arange(len(factors), dtype=U)
+    for k in range(factors.shape[1]):
+        out = mixed(out + firsts[:, k])
+    return out.view(np.int64)
+
+
+def _classes(size: int, percent: int):
+    factors = order_factors(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "text_key", "n_shingles", "class", "keys"]
         known: dict[bytes, np.ndarray] = {}
@@ -73,7 +89,7 @@ def _classes(size: int):
                     if name is None or name in known:
                         keys.append(None)
                     else:
-                        keys.append(keys_of(s))
+                        keys.append(keys_of(s, factors))
                         known[name] = None
                 if len(known) > 200_000:
                     known.clear()
@@ -195,7 +211,7 @@ def shingle_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = staged(
         rows.select("doc_id", text_key.alias("text_key"), "text")
-        .mapInArrow(_classes(size), "doc_id long, text_key long, n_shingles long, class binary, keys array<long>"), "classes")
+        .mapInArrow(_classes(size, percent), "doc_id long, text_key long, n_shingles long, class binary, keys array<long>"), "classes")
     keyed = found.filter(F.col("keys").isNotNull()).select("class", F.explode("keys").alias("key"))
     shared = staged(keyed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("key", "low"), "shared-keys")
     clusters = components(keyed.join(shared, "key").select(F.col("class").alias("a"), F.col("low").alias("b")))
