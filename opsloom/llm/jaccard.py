@@ -2,11 +2,12 @@
 
 Documents with the same shingle set are one class. Links between classes are found in three steps.
 
-1. Candidates: global token orders in bundles of three (two below similarity 0.85). Two classes come
+1. Candidates: global token orders in bundles of six (five below similarity 0.85). Two classes come
    together if they have the same first token under all orders of some bundle (the shortest prefix,
-   intersected over the orders). A pair at similarity 0.9 agrees in a bundle of three with probability
-   0.729; there are so many bundles (20) that all miss it with a probability below 1e-11. The
-   transitive closure of these groups are clusters; no pairs are formed.
+   intersected over the orders). A pair at similarity 0.9 agrees in a bundle of six with probability
+   0.53; there are so many bundles (28) that all miss it with a probability below 1e-9, while a pair
+   at 0.3 meets in one of fifty cases. The transitive closure of the groups are clusters; no pairs
+   are formed.
 2. In a cluster, classes must share a token of the lossless prefix (n - ceil(t n) + 1 tokens) under
    each of three further orders and have fitting sizes; the three filters are intersected.
 3. What is left is verified on the whole sets. Pairs already connected are skipped.
@@ -31,7 +32,7 @@ from opsloom.llm.arrays import U, mixed, shingled, slices, words
 from opsloom.llm.graph import components
 from opsloom.llm.shared import LOWEST, staged, tasks
 
-MISS = 1e-11
+MISS = 1e-9
 PART, PIVOTS = 200, 8
 FILTER_ORDERS = (101, 102, 103)
 
@@ -49,13 +50,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[n
             yield np.zeros(0, U)
 
 
-def class_name(tokens: np.ndarray) -> bytes | None:
-    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+def class_name(tokens: np.ndarray) -> int | None:
+    """64-bit digest of a set; among a billion sets two differ and share it with a chance of 3 %."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) if len(tokens) else None
 
 
 def bundles(percent: int) -> tuple[int, int]:
     """(number of bundles, orders in each) for a similarity."""
-    width = 3 if percent >= 85 else 2
+    width = 6 if percent >= 85 else 5
     return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** width)), width
 
 
@@ -79,7 +81,7 @@ def _classes(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "text_key", "n_shingles", "class", "keys"]
-        known: dict[bytes, np.ndarray] = {}
+        known: set[int] = set()
         for batch in batches:
             for first, data, offsets in slices(batch.column(2)):
                 sets = list(shingle_sets(data, offsets, size))
@@ -90,12 +92,12 @@ def _classes(size: int, percent: int):
                         keys.append(None)
                     else:
                         keys.append(keys_of(s, factors))
-                        known[name] = None
+                        known.add(name)
                 if len(known) > 200_000:
                     known.clear()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, len(sets)), batch.column(1).slice(first, len(sets)),
-                    pa.array([len(s) for s in sets], pa.int64()), pa.array(called, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names)
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(called, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names)
 
     return run
 
@@ -156,8 +158,8 @@ def _within_parts(size: int, percent: int):
     label count as connected.
     """
 
-    def of_part(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-        seen: dict[bytes, tuple] = {}
+    def of_part(rows: list[tuple]) -> list[tuple[int, int]]:
+        seen: dict[int, tuple] = {}
         for _, _, is_open, label, name, text in rows:
             if name not in seen:
                 raw = (text or "").encode()
@@ -168,24 +170,24 @@ def _within_parts(size: int, percent: int):
         if len(names) < 2:
             return []
         flags = np.array([seen[x][1] for x in names])
-        first_of: dict[bytes, int] = {}
-        group = [first_of.setdefault(seen[x][2] or x, k) for k, x in enumerate(names)]
+        first_of: dict[int, int] = {}
+        group = [first_of.setdefault(x if seen[x][2] is None else seen[x][2], k) for k, x in enumerate(names)]
         wanted = flags[:, None] | flags[None, :] if flags.any() else None
         return [(names[i], names[j]) for i, j in _links([seen[x][0] for x in names], percent, group, wanted)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            found: list[tuple[bytes, bytes]] = []
+            found: list[tuple[int, int]] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[-1][:2] != row[:2]:
                     found += of_part(held)
                     held = []
                 held.append(row)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
         if found := of_part(held):
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
 
     return run
 
@@ -195,7 +197,7 @@ def _dealt(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return (
         rows.select("cluster", "part", "open", "label", "class", "text")
         .repartition(n, "cluster", "part").sortWithinPartitions("cluster", "part", "class")
-        .mapInArrow(_within_parts(size, percent), "a binary, b binary")
+        .mapInArrow(_within_parts(size, percent), "a long, b long")
     )
 
 
@@ -211,7 +213,7 @@ def shingle_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = staged(
         rows.select("doc_id", text_key.alias("text_key"), "text")
-        .mapInArrow(_classes(size, percent), "doc_id long, text_key long, n_shingles long, class binary, keys array<long>"), "classes")
+        .mapInArrow(_classes(size, percent), "doc_id long, text_key long, n_shingles long, class long, keys array<long>"), "classes")
     keyed = found.filter(F.col("keys").isNotNull()).select("class", F.explode("keys").alias("key"))
     shared = staged(keyed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("key", "low"), "shared-keys")
     clusters = components(keyed.join(shared, "key").select(F.col("class").alias("a"), F.col("low").alias("b")))
@@ -235,7 +237,7 @@ def _cluster_links(rows: DataFrame, found: DataFrame, clusters: DataFrame, perce
     clusters = clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster"))
     sizes = staged(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("classes")), "cluster-sizes")
     parts = F.ceil(F.col("classes") / PART).cast("int")
-    head = F.conv(F.hex(F.substring("class", 1, 4)), 16, 10).cast("double") / float(2**32)
+    head = F.pmod(F.xxhash64(F.lit(1), "class"), F.lit(1 << 30)) / float(1 << 30)
     members = clusters.join(sizes, "cluster").select("class", "cluster", parts.alias("parts"), F.pmod(F.xxhash64("class"), parts).cast("int").alias("part"),
                                                      (head < PIVOTS / F.col("classes")).alias("pivot"))
     # one document stands for its class
@@ -245,7 +247,7 @@ def _cluster_links(rows: DataFrame, found: DataFrame, clusters: DataFrame, perce
     texts = rows.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("place"), F.xxhash64("text").alias("text_key"), "text")
     held = staged(texts.join(chosen, ["place", "text_key"]).select("class", "cluster", "parts", "part", "pivot", "text"), "cluster-texts")
     everywhere = F.when(F.col("pivot") & (F.col("parts") > 1), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
-    no_label = F.lit(None).cast("binary")
+    no_label = F.lit(None).cast("long")
     first = staged(_dealt(
         held.withColumn("part", F.explode(everywhere)).withColumns({"open": F.lit(False), "label": no_label}), size, percent), "part-links")
     several = chosen.filter("parts > 1").select("class", "cluster")
