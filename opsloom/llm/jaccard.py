@@ -245,7 +245,8 @@ def _cluster_links(rows: DataFrame, found: DataFrame, clusters: DataFrame, perce
         F.min(F.struct(F.coalesce("doc_id", F.lit(LOWEST)).alias("place"), "text_key")).alias("s"))
     chosen = staged(members.join(speaker, "class").select("class", "cluster", "parts", "part", "pivot", "s.place", "s.text_key"), "speakers")
     texts = rows.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("place"), F.xxhash64("text").alias("text_key"), "text")
-    held = staged(texts.join(chosen, ["place", "text_key"]).select("class", "cluster", "parts", "part", "pivot", "text"), "cluster-texts")
+    # the list grows with the table, so the plan is a merge join at every size
+    held = staged(texts.join(chosen.hint("merge"), ["place", "text_key"]).select("class", "cluster", "parts", "part", "pivot", "text"), "cluster-texts")
     everywhere = F.when(F.col("pivot") & (F.col("parts") > 1), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
     no_label = F.lit(None).cast("long")
     first = staged(_dealt(
@@ -286,7 +287,7 @@ def one_per_component(docs: DataFrame, percent: int = 90, size: int = 3) -> Data
     kept = staged(firsts.union(lone).distinct(), "kept-rows")
     out = docs.withColumns({"_place": F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)), "_key": F.xxhash64("text")})
     here = kept.withColumnsRenamed({"place": "_place", "text_key": "_key"})
-    out = out.join(here, ["_place", "_key"], "left_semi")
+    out = out.join(here.hint("merge"), ["_place", "_key"], "left_semi")
     repeated = marked.groupBy("place", "text_key").agg(F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("c")).filter("c > 1 AND n > 0")
     if not repeated.isEmpty():  # whole rows repeat: one of them stays
         words_in = F.regexp_like(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^ \t-\r]"))
