@@ -3,8 +3,9 @@
 An item of n words (at least 5) leaks into a document if some run of the document's words is within
 edit distance floor(n / 5) of it (similarity 0.8). Words are compared in lower case.
 
-1. Windows: an item within distance e must hold one of its e + 1 equal pieces unchanged, so only
-   windows of the item's size around an unchanged piece are looked at (nothing is lost by this).
+1. Windows: an item within distance e must hold one of its e + 1 equal pieces unchanged, and all but e
+   of its words must stand around it, so only windows of the item's size around such pieces are
+   looked at (nothing is lost by this).
 2. CGK embedding: a random walk copies the word under its head and moves on or not by a random bit of
    (step, word); edit distance becomes Hamming distance. 24 walks, each sampled 12 times at 4 steps;
    a window and an item that agree in all 4 steps of a sample are a candidate pair.
@@ -127,6 +128,22 @@ def best_runs(item: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.nda
     return before.min(axis=1), before.argmin(axis=1)
 
 
+def enough_words(index: Index, found: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which (row, item, start) can match at all: an item of n words leaves n - e of them around its place."""
+    keep = np.zeros(len(found), bool)
+    order = np.argsort(found[:, 1], kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(found[order, 1])) + 1):
+        item = index.items[found[own[0], 1]]
+        reach, known = allowed(len(item)), np.unique(item)
+        low, high = first[found[own, 0]], first[found[own, 0] + 1]
+        place = found[own, 2][:, None] - reach + np.arange(len(item) + 2 * reach)
+        inside = (place >= low[:, None]) & (place < high[:, None])
+        around = hashes[np.clip(place, 0, len(hashes) - 1)]
+        same = known[np.minimum(np.searchsorted(known, around), len(known) - 1)] == around
+        keep[own] = (same & inside).sum(axis=1) >= len(item) - reach
+    return keep
+
+
 def search(index: Index, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Verified (row, item number, distance, last word of the run) of all rows, best per row and item."""
     row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -141,6 +158,7 @@ def search(index: Index, hashes: np.ndarray, first: np.ndarray) -> list[tuple[in
         starts.append(np.stack([row_of[at[hit]], owner[gram], at[hit] - offset[gram]], 1))
     if not starts or not (found := np.unique(np.concatenate(starts), axis=0)).size:
         return []
+    found = found[enough_words(index, found, hashes, first)]
     sizes = np.array([len(i) for i in index.items])
     out: dict[tuple[int, int], tuple[int, int]] = {}
     for n in np.unique(sizes[found[:, 1]]).tolist():
