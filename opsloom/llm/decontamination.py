@@ -18,7 +18,7 @@ whatever the size of the benchmark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -128,26 +128,13 @@ def best_runs(item: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.nda
     return before.min(axis=1), before.argmin(axis=1)
 
 
-def enough_words(index: Index, found: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Which (row, item, start) can match at all: an item of n words leaves n - e of them around its place."""
-    keep = np.zeros(len(found), bool)
-    order = np.argsort(found[:, 1], kind="stable")
-    for own in np.split(order, np.flatnonzero(np.diff(found[order, 1])) + 1):
-        item = index.items[found[own[0], 1]]
-        reach, known = allowed(len(item)), np.unique(item)
-        low, high = first[found[own, 0]], first[found[own, 0] + 1]
-        place = found[own, 2][:, None] - reach + np.arange(len(item) + 2 * reach)
-        inside = (place >= low[:, None]) & (place < high[:, None])
-        around = hashes[np.clip(place, 0, len(hashes) - 1)]
-        same = known[np.minimum(np.searchsorted(known, around), len(known) - 1)] == around
-        keep[own] = (same & inside).sum(axis=1) >= len(item) - reach
-    return keep
-
-
-def search(index: Index, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Verified (row, item number, distance, last word of the run) of all rows, best per row and item."""
+def surroundings(index: Index, hashes: np.ndarray, first: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By item size: (row, start in the row, words from e before the start to e behind the end).
+
+    Starts where a piece of an item stands unchanged and all but e of the item's words stand around.
+    """
     row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    starts, items = [], []
+    starts = []
     for size, (keys, owner, offset) in index.grams.items():
         if len(hashes) < size:
             continue
@@ -157,35 +144,55 @@ def search(index: Index, hashes: np.ndarray, first: np.ndarray) -> list[tuple[in
         hit, gram = expanded(keys, runs[at])
         starts.append(np.stack([row_of[at[hit]], owner[gram], at[hit] - offset[gram]], 1))
     if not starts or not (found := np.unique(np.concatenate(starts), axis=0)).size:
-        return []
-    found = found[enough_words(index, found, hashes, first)]
-    sizes = np.array([len(i) for i in index.items])
-    out: dict[tuple[int, int], tuple[int, int]] = {}
-    for n in np.unique(sizes[found[:, 1]]).tolist():
-        own = found[sizes[found[:, 1]] == n]
-        reach = allowed(n)
-        shifts = np.unique(np.round(np.linspace(-reach, reach, SHIFTS)).astype(int))
-        windows = np.unique(np.concatenate([np.stack([own[:, 0], own[:, 2] + s], 1) for s in shifts]), axis=0)
-        for at in range(0, len(windows), 2048):
-            part = windows[at : at + 2048]
-            low, high = first[part[:, 0]], first[part[:, 0] + 1]
-
-            def around(extra: int) -> np.ndarray:
-                place = part[:, 1:2] - extra + np.arange(n + 2 * extra)
-                inside = (place >= low[:, None]) & (place < high[:, None])
-                return np.where(inside, hashes[np.clip(place, 0, len(hashes) - 1)], U(0))
-
-            keys = sample_keys(around(0))
+        return {}
+    parts: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    order = np.argsort(found[:, 1], kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(found[order, 1])) + 1):
+        item = index.items[found[own[0], 1]]
+        reach, known, row, start = allowed(len(item)), np.unique(item), found[own, 0], found[own, 2]
+        place = start[:, None] - reach + np.arange(len(item) + 2 * reach)
+        inside = (place >= first[row][:, None]) & (place < first[row + 1][:, None])
+        around = np.where(inside, hashes[np.clip(place, 0, len(hashes) - 1)], U(0))
+        same = (known[np.minimum(np.searchsorted(known, around), len(known) - 1)] == around) & inside
+        keep = same.sum(axis=1) >= len(item) - reach
+        parts.setdefault(len(item), []).append((row[keep], (start - first[row])[keep], around[keep]))
+    return {n: tuple(np.concatenate(c) for c in zip(*p)) for n, p in parts.items()}
+
+
+def matches(index: Index, n: int, row: np.ndarray, start: np.ndarray, around: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+    """(row, item) to (distance, last word of the run) for the surroundings of items of n words."""
+    reach, out = allowed(n), {}
+    for at in range(0, len(row), 4096):
+        part = around[at : at + 4096]
+        pairs = []
+        for shift in np.unique(np.round(np.linspace(0, 2 * reach, SHIFTS)).astype(int)).tolist():
+            keys = sample_keys(part[:, shift : shift + n])
             hit, place = expanded(index.keys, keys.reshape(-1))
-            pairs = np.unique(np.stack([hit // keys.shape[1], index.owners[place]], 1), axis=0)
-            regions = around(reach)
-            for item in np.unique(pairs[:, 1]).tolist():
-                near = pairs[pairs[:, 1] == item, 0]
-                distance, end = best_runs(index.items[item], regions[near])
-                for w, d, e in zip(near.tolist(), distance.tolist(), end.tolist()):
-                    if d <= reach:
-                        key, value = (int(part[w, 0]), item), (d, int(part[w, 1]) - reach + e - int(low[w]))
-                        out[key] = min(out.get(key, value), value)
+            pairs.append(np.stack([index.owners[place], hit // keys.shape[1]], 1))
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        for own in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1) if len(pairs) else []:
+            item, near = int(own[0, 0]), own[:, 1]
+            distance, end = best_runs(index.items[item], part[near])
+            for k, d, e in zip((at + near).tolist(), distance.tolist(), end.tolist()):
+                if d <= reach:
+                    key, value = (int(row[k]), item), (d, int(start[k]) - reach + e)
+                    out[key] = min(out.get(key, value), value)
+    return out
+
+
+def search(index: Index, parts: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> list[tuple[int, int, int, int]]:
+    """Verified (row, item number, distance, last word), best per row and item.
+
+    parts: (number of the first row, word hashes, first word of each row); surroundings of all parts
+    are embedded together, because the walks take one array operation per step.
+    """
+    held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    for base, hashes, first in parts:
+        for n, (row, start, around) in surroundings(index, hashes, first).items():
+            held.setdefault(n, []).append((row + base, start, around))
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    for n, found in held.items():
+        out |= matches(index, n, *(np.concatenate(c) for c in zip(*found)))
     return [(row, item, d, end) for (row, item), (d, end) in out.items()]
 
 
@@ -225,14 +232,13 @@ def _search(index: Index):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first_row, data, offsets in slices(batch.column(2)):
-                _, _, hashes, first = words(data, offsets, lower=True)
-                if found := search(index, hashes, first):
-                    at = pa.array([first_row + f[0] for f in found])
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array([int(index.ids[f[1]]) for f in found]),
-                        pa.array([f[2] for f in found], pa.int32()), pa.array([len(index.items[f[1]]) for f in found], pa.int32()),
-                        pa.array([f[3] for f in found], pa.int32())], names)
+            parts = ((base, *words(data, offsets, lower=True)[2:]) for base, data, offsets in slices(batch.column(2)))
+            if found := search(index, parts):
+                at = pa.array([f[0] for f in found])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(at), batch.column(1).take(at), pa.array([int(index.ids[f[1]]) for f in found]),
+                    pa.array([f[2] for f in found], pa.int32()), pa.array([len(index.items[f[1]]) for f in found], pa.int32()),
+                    pa.array([f[3] for f in found], pa.int32())], names)
 
     return run
 

@@ -58,7 +58,7 @@ def test_recall_at_the_threshold():
             text = [f"c{rng.randrange(500)}" for _ in range(50)] + copy + [f"c{rng.randrange(500)}" for _ in range(50)]
             raw = " ".join(text).encode()
             _, _, hashes, first = dc.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), lower=True)
-            hits = dc.search(index, hashes, first)
+            hits = dc.search(index, [(0, hashes, first)])
             n += 1
             found += any(h[1] == k for h in hits)
             assert all(h[2] == distance_to_best_run(items[h[1]], text) for h in hits)
