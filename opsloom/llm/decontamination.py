@@ -39,15 +39,16 @@ def allowed(n: int) -> int:
     return n // 5
 
 
-def embed(rows: np.ndarray, walk: int, steps: int) -> np.ndarray:
-    """CGK embedding of equally long rows of words (0 behind the end)."""
-    n = rows.shape[1]
+def embed(rows: np.ndarray) -> np.ndarray:
+    """CGK embeddings of equally long rows of words, (walk, row, step); 0 stands behind the end."""
+    n, steps = rows.shape[1], 2 * rows.shape[1]
     padded = np.concatenate([rows, np.zeros((len(rows), 1), U)], axis=1)
-    head, own, out = np.zeros(len(rows), np.int64), np.arange(len(rows)), np.empty((len(rows), steps), U)
+    salts = mixed(np.arange(WALKS * steps, dtype=U) + U(1), n).reshape(WALKS, steps)
+    head, own = np.zeros((WALKS, len(rows)), np.int64), np.arange(len(rows))
+    out = np.empty((WALKS, len(rows), steps), U)
     for step in range(steps):
-        word = padded[own, head]
-        out[:, step] = word
-        move = mixed(word, 1_000_003 * walk + step + 1) >> U(63)
+        word = out[:, :, step] = padded[own, head]
+        move = mixed(word ^ salts[:, step : step + 1]) >> U(63)
         head = np.minimum(head + move.astype(np.int64), n)
     return out
 
@@ -55,17 +56,18 @@ def embed(rows: np.ndarray, walk: int, steps: int) -> np.ndarray:
 def sample_keys(rows: np.ndarray) -> np.ndarray:
     """Keys of all samples: (row, walk * sample). The same for windows and items of one length."""
     n = rows.shape[1]
+    places = np.stack([
+        np.stack([np.random.default_rng((walk, sample, n)).choice(2 * n, STEPS, replace=False) for sample in range(SAMPLES)])
+        for walk in range(WALKS)])
+    names = (np.arange(WALKS * SAMPLES, dtype=U) * U(1_000_003) + U(n)).reshape(WALKS, 1, SAMPLES)
     keys = []
-    for walk in range(WALKS):
-        path = embed(rows, walk, 2 * n)
-        rng = np.random.default_rng((walk, n))
-        for sample in range(SAMPLES):
-            at = rng.choice(2 * n, min(STEPS, 2 * n), replace=False)
-            key = np.full(len(rows), (walk * SAMPLES + sample) * 1_000_003 + n, np.int64).astype(U)
-            for k in at:
-                key = mixed(key + path[:, k])
-            keys.append(key)
-    return np.stack(keys, 1)
+    for at in range(0, len(rows), 512):
+        paths = embed(rows[at : at + 512])
+        key = np.broadcast_to(names, (WALKS, paths.shape[1], SAMPLES))
+        for k in range(STEPS):
+            key = mixed(key + np.take_along_axis(paths, np.broadcast_to(places[:, None, :, k], key.shape), axis=2))
+        keys.append(key.transpose(1, 0, 2).reshape(paths.shape[1], -1))
+    return np.concatenate(keys) if keys else np.zeros((0, WALKS * SAMPLES), U)
 
 
 @dataclass
@@ -162,14 +164,12 @@ def surroundings(index: Index, hashes: np.ndarray, first: np.ndarray) -> dict[in
 def matches(index: Index, n: int, row: np.ndarray, start: np.ndarray, around: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
     """(row, item) to (distance, last word of the run) for the surroundings of items of n words."""
     reach, out = allowed(n), {}
-    for at in range(0, len(row), 4096):
-        part = around[at : at + 4096]
-        pairs = []
-        for shift in np.unique(np.round(np.linspace(0, 2 * reach, SHIFTS)).astype(int)).tolist():
-            keys = sample_keys(part[:, shift : shift + n])
-            hit, place = expanded(index.keys, keys.reshape(-1))
-            pairs.append(np.stack([index.owners[place], hit // keys.shape[1]], 1))
-        pairs = np.unique(np.concatenate(pairs), axis=0)
+    for at in range(0, len(row), 2048):
+        part = around[at : at + 2048]
+        shifts = np.unique(np.round(np.linspace(0, 2 * reach, SHIFTS)).astype(int)).tolist()
+        keys = sample_keys(np.concatenate([part[:, s : s + n] for s in shifts]))
+        hit, place = expanded(index.keys, keys.reshape(-1))
+        pairs = np.unique(np.stack([index.owners[place], hit // keys.shape[1] % len(part)], 1), axis=0)
         for own in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1) if len(pairs) else []:
             item, near = int(own[0, 0]), own[:, 1]
             distance, end = best_runs(index.items[item], part[near])
