@@ -227,7 +227,7 @@ def _(t: Tables):
     files = records.groupBy((F.col("event_id") / 4096).cast("bigint").alias("f")).agg(
         F.to_json(F.collect_list(F.struct("event_id", "event_type", "user_id"))).alias("value"))
     files.select("value").repartition("value").write.option("maxRecordsPerFile", 1).text(path)
-    return tables.read_raw_json(t.spark, path, ["event_id", "event_type", "user_id"])
+    return tables.read_raw_json(t.spark, path, ["event_id", "event_type", "user_id"], whole_files=True)
 
 
 @query("overwrite_sink", "SELECT event_id, event_type, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-05' THEN 0.0::DOUBLE ELSE value END AS value, CAST(ts AS DATE) AS day FROM events")

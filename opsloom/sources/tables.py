@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -14,9 +15,12 @@ from pyspark.sql import types as T
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, below the shared folder of the cluster.
 
-    Without `spark.checkpoint.dir` (tests on one machine) a temporary folder is used.
+    Without `spark.checkpoint.dir` a local session gets a temporary folder; on a cluster this is an
+    error, because a folder of one machine loses the rows of all others.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{(base or tempfile.mkdtemp(prefix='opsloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -46,10 +50,10 @@ def read_raw_csv(spark: SparkSession, path: str, header: Sequence[str], source:
     return raw.toDF(*[normal_header(c) for c in header]).withColumn("source_file", F.lit(source))
 
 
-def read_raw_json(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
-    """JSON records as texts; "nan" becomes null. Reads both one array and one record per line."""
+def read_raw_json(spark: SparkSession, path: str, fields: Sequence[str], whole_files: bool = False) -> DataFrame:
+    """JSON records as texts; "nan" becomes null. One record per line, or with `whole_files` one array per file."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", whole_files).json(path)
     return raw.select(*[F.nullif(F.col(c), F.lit("nan")).alias(c) for c in fields])
 
 
