@@ -106,8 +106,8 @@ def rate_by_weekday(flights: DataFrame) -> DataFrame:
     return rates.withColumn("above_mean", S.flag(F.col("late_pct") > mean.scalar()))
 
 
-def heatmap_weekday_hour(flights: DataFrame, hours: Sequence[int] = range(24)) -> DataFrame:
-    """Late percentage, one row per weekday and one column per hour."""
+def heatmap_weekday_hour(flights: DataFrame, hours: Sequence[int] = range(25)) -> DataFrame:
+    """Late percentage, one row per weekday and one column per hour; a departure at 2400 has hour 24."""
     wide = flights.groupBy("weekday").pivot("hour", list(hours)).agg(F.avg("late") * 100)
     return wide.select("weekday", *[F.col(f"`{h}`").alias(f"h{h:02d}") for h in hours])
 

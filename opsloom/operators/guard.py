@@ -15,7 +15,6 @@ SOURCE_SUFFIXES = {"_FAQ.docx": "FAQ", "_CGU.docx": "CGU", "_Politique_Retour.do
 CATALOGUE_OPENING, CATALOGUE_CLASS, UNKNOWN_CLASS = "Produit:", "Catalogue", "Inconnu"
 NO_SOURCE = "aucune"
 VERDICT_SCHEMA = "fidele boolean, pertinent boolean, refus_correct boolean, resiste boolean, commentaire string"
-PAGE_TURNS = 64
 
 
 def on_topic(df: DataFrame, key: Sequence[str], text: str, vocabulary: DataFrame) -> DataFrame:
@@ -61,17 +60,14 @@ def retrieval_hit(expected: str, retrieved: str):
     return F.when(F.col(expected).isNotNull(), F.size(F.array_intersect(F.col(expected), F.col(retrieved))) > 0)
 
 
-def conversation_pack(turns: DataFrame, page: int = PAGE_TURNS) -> DataFrame:
-    """Ordered messages of a conversation in pages of a fixed number of turns.
+def conversation_pack(turns: DataFrame) -> DataFrame:
+    """One row per message: (conv_id, position, role, content), ordered by position inside a conversation.
 
-    A page is the unit that is collected, so a conversation of any length spreads over many rows.
+    The turn is the position, so a history of any length is a projection and nothing is collected.
     Every role but user counts as assistant.
     """
     role = F.when(F.col("role") == "user", "user").otherwise("assistant")
-    message = F.struct("turn", role.alias("role"), F.col("text").alias("content"))
-    pages = turns.groupBy("conv_id", F.floor(F.col("turn") / page).alias("page")).agg(
-        F.sort_array(F.collect_list(message)).alias("_m"))
-    return pages.select("conv_id", "page", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
+    return turns.select("conv_id", F.col("turn").alias("position"), role.alias("role"), F.col("text").alias("content"))
 
 
 def parse_judge_json(df: DataFrame, raw: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -70,10 +70,11 @@ def train(df: DataFrame, features: Sequence[str], ids: Sequence[str], trees: int
     return sample.select("tree", *names).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
-def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], rows: int = SAMPLE_ROWS) -> DataFrame:
+def score(df: DataFrame, nodes: DataFrame, features: Sequence[str]) -> DataFrame:
     """Add `anomaly_score`, minus 2^(-mean path / expected path): the lower, the stranger.
 
-    The node table has a fixed size (trees x 511), so every task may hold it whole.
+    The expected path follows from the rows each tree was grown on. The node table has a fixed
+    size (trees x 511), so every task may hold it whole.
     """
     table = nodes.toPandas()
     width = int(table["node"].max()) + 1
@@ -84,25 +85,23 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], rows: int =
         feature[at], cut[at] = tree["feature"], tree["cut"]
         length[at] = tree["depth"] + average_path(tree["rows"].to_numpy())
         packed.append((feature, cut, length))
-    steps, scale, names = int(table["depth"].max()), float(average_path(rows)), list(features)
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            values = batch[names].to_numpy(dtype=np.float64)
-            everyone = np.arange(len(batch))
-            total = np.zeros(len(batch))
-            for feature, cut, length in packed:
-                node = np.ones(len(batch), dtype=np.int64)
-                for _ in range(steps):
-                    f = feature[node]
-                    inner = f >= 0
-                    right = values[everyone, np.maximum(f, 0)] >= cut[node]
-                    node = np.where(inner, 2 * node + right, node)
-                total += length[node]
-            yield batch.assign(anomaly_score=-np.power(2.0, -(total / len(packed)) / scale))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(walk, f"{schema}, anomaly_score double")
+    steps, names = int(table["depth"].max()), list(features)
+    scale = float(average_path(table.loc[table["node"] == 1, "rows"].to_numpy()).mean()) or 1.0
+
+    @F.pandas_udf("double")
+    def walk(part: pd.DataFrame) -> pd.Series:
+        values = part.to_numpy(dtype=np.float64)
+        everyone, total = np.arange(len(part)), np.zeros(len(part))
+        for feature, cut, length in packed:
+            node = np.ones(len(part), dtype=np.int64)
+            for _ in range(steps):
+                f = feature[node]
+                right = values[everyone, np.maximum(f, 0)] >= cut[node]
+                node = np.where(f >= 0, 2 * node + right, node)
+            total += length[node]
+        return pd.Series(-np.power(2.0, -(total / len(packed)) / scale))
+
+    return df.withColumn("anomaly_score", walk(F.struct(*[F.col(c).cast("double").alias(c) for c in names])))
 
 
 def cut_score(train_scores: DataFrame, contamination: float) -> DataFrame:
@@ -135,18 +134,23 @@ def search_trees(train_rows: DataFrame, held: DataFrame, features: Sequence[str]
     return train_rows.sparkSession.createDataFrame([(n, v, int(n == best)) for n, v in rows], "trees int, detected double, chosen int")
 
 
-def drivers(df: DataFrame, nodes: DataFrame, features: Sequence[str], ids: Sequence[str], rows: int = 2000, seed: int = 42) -> DataFrame:
-    """Mean change of the score when one feature of a sampled row takes the value of another sampled row."""
-    sample = shared(df.select(*ids, *features).withColumn("_k", tie_key(F.lit(seed), *ids)).orderBy("_k").limit(rows)
-                    .withColumn("_p", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_k"))))
-    n = sample.agg(F.max("_p")).scalar()
-    other = sample.select((F.col("_p") % n + 1).alias("_p"), F.struct(*features).alias("_o"))
-    paired = sample.join(other, "_p")
-    variants = [F.struct(F.lit("").alias("feature"), *[F.col(c).cast("double").alias(c) for c in features])] + [
-        F.struct(F.lit(f).alias("feature"), *[(F.col(f"_o.{c}") if c == f else F.col(c)).cast("double").alias(c) for c in features])
-        for f in features]
-    scored = score(paired.select("_p", F.explode(F.array(*variants)).alias("v")).select("_p", "v.*"), nodes, features)
-    base = scored.where(F.col("feature") == "").select("_p", F.col("anomaly_score").alias("_base"))
-    changed = scored.where(F.col("feature") != "").join(base, "_p")
+def drivers(df: DataFrame, nodes: DataFrame, features: Sequence[str], ids: Sequence[str], seed: int = 42,
+            bucket_rows: int = 4096) -> DataFrame:
+    """Mean change of the score when one feature of a row takes the value of another row, over all rows.
+
+    Rows are hashed by their id into buckets of about `bucket_rows`; each takes the values of the next
+    row of its bucket in key order, the last those of the first.
+    """
+    buckets = max(1, -(-df.count() // bucket_rows))
+    keyed = df.select(*[F.col(c).cast("double").alias(c) for c in features], tie_key(F.lit(seed), *ids).alias("_k"),
+                      F.pmod(F.xxhash64(F.lit(seed), *ids), F.lit(buckets)).alias("_b"))
+    order = Window.partitionBy("_b").orderBy("_k", *features)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    values = F.struct(*features)
+    paired = keyed.withColumn("_o", F.coalesce(F.lead(values).over(order), F.first(values).over(whole))).drop("_k", "_b")
+    base = score(paired, nodes, features).withColumnRenamed("anomaly_score", "_base")
+    variants = F.array(*[F.struct(F.lit(f).alias("feature"), *[(F.col(f"_o.{c}") if c == f else F.col(c)).alias(c) for c in features])
+                         for f in features])
+    changed = score(base.select("_base", F.explode(variants).alias("v")).select("_base", "v.*"), nodes, features)
     return changed.groupBy("feature").agg(F.avg(F.abs(F.col("anomaly_score") - F.col("_base"))).alias("importance")).orderBy(
         F.desc("importance"), "feature")

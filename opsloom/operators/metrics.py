@@ -11,8 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.functions.reuse import shared
-from opsloom.operators.ordering import nth_key, running_totals, tie_key
+from opsloom.operators.ordering import group_keys, running_totals, tie_key
 
 RECALL_TARGETS = (0.5, 0.6, 0.7, 0.8, 0.9)
 
@@ -110,26 +109,21 @@ def detection_rate(df: DataFrame, flag: str, label: str) -> DataFrame:
         F.sum(F.col(flag) * F.col(label)).cast("double"), F.sum(label).cast("double")) * 100, F.lit(0.0)).alias("detection_pct"))
 
 
-def stratified_split(df: DataFrame, label: str, ids: Sequence[str | Column], classes: Sequence = (0, 1),
+def stratified_split(df: DataFrame, label: str, ids: Sequence[str | Column],
                      test: float = 0.15, validation: float = 0.15, seed: int = 42) -> DataFrame:
-    """Seeded split with exact sizes per class: .15 test, .15 validation, the rest training.
+    """Seeded split with exact sizes per label, null being one: .15 test, .15 validation, the rest training.
 
-    Rows are ordered by a hash of their id; the rows at the two size limits of each class give
+    Rows are ordered by a hash of their id; the rows at the two size limits of each label give
     the cut keys, and every row is labelled by comparing its own key with them.
     """
-    keyed = df.withColumn("_tie", tie_key(F.lit(seed), *ids)).withColumn("_one", F.lit(0))
-    out, label_of = keyed, F.lit("train")
-    for value in classes:
-        part = keyed.where(F.col(label) == value)
-        n = part.agg(F.count(F.lit(1)).alias("n"))
-        n_test = F.floor(n.scalar() * F.lit(test) + 0.5)
-        n_both = n_test + F.floor(n.scalar() * F.lit(validation) + 0.5)
-        out = out.withColumn(f"_t{value}", nth_key(part, "_one", "_tie", n_test).scalar()).withColumn(
-            f"_v{value}", nth_key(part, "_one", "_tie", n_both).scalar())
-        here = F.col(label) == value
-        label_of = (F.when(here & (F.col("_tie") <= F.col(f"_t{value}.t")), "test")
-                    .when(here & (F.col("_tie") <= F.col(f"_v{value}.t")), "validation").otherwise(label_of))
-    return out.withColumn("split", label_of).select(*df.columns, "split")
+    def size(n: Column, share: float) -> Column:
+        return F.floor(n * F.lit(share) + 0.5)
+
+    keyed = df.withColumn("_tie", tie_key(F.lit(seed), *ids))
+    cuts = group_keys(keyed, label, "_tie", {
+        "_test": lambda n: size(n, test), "_both": lambda n: size(n, test) + size(n, validation)}).withColumnRenamed(label, "_label")
+    part = (F.when(F.col("_tie") <= F.col("_test"), "test").when(F.col("_tie") <= F.col("_both"), "validation").otherwise("train"))
+    return keyed.join(cuts, F.col(label).eqNullSafe(F.col("_label")), "left").withColumn("split", part).select(*df.columns, "split")
 
 
 def union_train_val(split: DataFrame) -> DataFrame:
@@ -159,10 +153,8 @@ def inject_anomalies(df: DataFrame, ids: Sequence[str | Column], share: float =
                      factor: int = 50, seed: int = 42) -> DataFrame:
     """Multiply the volume of a seeded 1 % of rows (at least ten) and recompute their rate."""
     keyed = df.withColumn("_tie", tie_key(F.lit(seed), *ids)).withColumn("_one", F.lit(0))
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    wanted = F.least(F.greatest(F.floor(n.scalar() * share), F.lit(minimum)), n.scalar())
-    cut = nth_key(keyed, "_one", "_tie", wanted)
-    out = keyed.withColumn("_cut", cut.scalar()).withColumn("injected", (F.col("_tie") <= F.col("_cut.t")).cast("int"))
+    cut = group_keys(keyed, "_one", "_tie", {"t": lambda n: F.least(F.greatest(F.floor(n * share), F.lit(minimum)), n)})
+    out = keyed.withColumn("_cut", cut.select("t").scalar()).withColumn("injected", (F.col("_tie") <= F.col("_cut")).cast("int"))
     hit = F.col("injected") == 1
     volume = F.when(hit, F.col("volume") * factor).otherwise(F.col("volume"))
     return out.withColumn("volume", volume).withColumn("items_per_hour", F.when(
@@ -173,7 +165,3 @@ def inject_anomalies(df: DataFrame, ids: Sequence[str | Column], share: float =
 def align_predictions(a: DataFrame, b: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """Dates both models predict, with the mean of the two."""
     return actual.join(a, key).join(b, key).withColumn("ensemble", (F.col("pred_a") + F.col("pred_b")) / 2)
-
-
-def best_of(candidates: DataFrame) -> DataFrame:
-    return shared(candidates)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier)
@@ -21,6 +23,7 @@ from opsloom.functions.reuse import shared
 from opsloom.operators import metrics
 
 SEED = 42
+PARALLEL_FITS = 4
 
 
 @dataclass(frozen=True)
@@ -70,15 +73,17 @@ def _mae(scored: DataFrame, label: str) -> float:
 
 
 def _search(candidates: Mapping[str, Pipeline], train: DataFrame, held: DataFrame, judge, highest: bool, value: str) -> Trained:
-    """Fit every candidate, judge it on the held rows; the first of equals wins."""
-    best, rows = None, []
-    for i, (name, pipeline) in enumerate(candidates.items()):
-        model = pipeline.fit(train)
-        result = judge(model.transform(held))
-        rows.append((i, name, result))
-        if best is None or (result > best[0] if highest else result < best[0]):
-            best = (result, name, model)
+    """Fit the candidates side by side, judge them on the held rows; the first of equals wins."""
     spark = train.sparkSession
+
+    def fit(named):
+        model = named[1].fit(train)
+        return judge(model.transform(held)), named[0], model
+
+    with ThreadPool(PARALLEL_FITS) as pool:
+        judged = pool.map(inheritable_thread_target(spark)(fit), candidates.items(), chunksize=1)
+    best = (max if highest else min)(judged, key=lambda one: one[0])
+    rows = [(i, name, result) for i, (result, name, _) in enumerate(judged)]
     results = spark.createDataFrame(rows, f"candidate int, settings string, {value} double").withColumn(
         "chosen", (F.col("settings") == best[1]).cast("int"))
     return Trained(best[2], results, best[1])

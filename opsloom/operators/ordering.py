@@ -10,7 +10,7 @@ before the first shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -166,6 +166,31 @@ def nth_key(df: DataFrame, day: str, tie: str, n: Column) -> DataFrame:
     )
 
 
+def group_keys(df: DataFrame, group: str, tie: str, ranks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """Per value of `group` (null is one) the tie keys of chosen ranks: (group, one column per rank).
+
+    `ranks` maps a column name to a function from the size of the group to a rank from 1. Rows are
+    counted per group and first four hexadecimal digits; only the pieces that hold a wanted rank are
+    counted per key. A rank of 0, or beyond the group, gives null.
+    """
+    rows = df.select(F.col(group).alias(group), F.col(tie).alias("_t"), F.substring(tie, 1, 4).alias("_p"))
+    cells = rows.groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = Window.partitionBy(group).orderBy("_p")  # at most 65 536 rows per group
+    ends = cells.withColumn("_end", F.sum("_n").over(pieces)).withColumn("_total", F.sum("_n").over(Window.partitionBy(group)))
+    asked = F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("_total")).cast("bigint").alias("rank")) for name, rank in ranks.items()])
+    found = (
+        ends.select(group, "_p", F.explode(asked).alias("_a"), (F.col("_end") - F.col("_n")).alias("_start"), "_end")
+        .where((F.col("_a.rank") > F.col("_start")) & (F.col("_a.rank") <= F.col("_end")))
+        .select(F.col(group).alias("_g"), F.col("_p").alias("_fp"), F.col("_a.name").alias("_name"), (F.col("_a.rank") - F.col("_start")).alias("_rest"))
+    )
+    keys = (rows.join(found, rows[group].eqNullSafe(found["_g"]) & (F.col("_p") == F.col("_fp")))
+            .groupBy("_g", "_name", "_rest", "_t").agg(F.count(F.lit(1)).alias("_n")))
+    inside = Window.partitionBy("_g", "_name").orderBy("_t")  # the keys of one piece
+    reached = keys.withColumn("_end", F.sum("_n").over(inside)).where(F.col("_end") >= F.col("_rest"))
+    return reached.groupBy(F.col("_g").alias(group)).agg(
+        *[F.min(F.when(F.col("_name") == name, F.col("_t"))).alias(name) for name in ranks])
+
+
 def global_position(df: DataFrame, day: str, tie: str, name: str = "position") -> DataFrame:
     """Number all rows from 1 in (day, tie) order without a global sort task.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +83,9 @@ def backjoin(detail: DataFrame, keys: Sequence[str], **stats: Column) -> DataFra
     map side first; the join back is broadcast by Spark while they are small and otherwise a
     sort-merge join whose hot partitions adaptive execution splits.
     """
-    return detail.join(detail.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys), "left")
+    merged = detail.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[c.alias(n) for n, c in stats.items()])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])  # null is a group too
+    return detail.join(merged, same, "left").drop(*[f"_{k}" for k in keys])
 
 
 def backjoin_aggregate(tasks: DataFrame) -> DataFrame:
@@ -273,7 +277,3 @@ def late_target(detail: DataFrame, share: float = 0.75) -> DataFrame:
 
 def count_by(df: DataFrame, keys: Sequence[str], **extra: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in extra.items()])
-
-
-def mapped_columns(df: DataFrame, maps: Mapping[str, tuple[Mapping, object]]) -> DataFrame:
-    return df.withColumns({c: S.mapped(c, values, default) for c, (values, default) in maps.items()})

@@ -1,104 +1,88 @@
-"""Queries over the payment ledger."""
+"""Queries over the payment ledger.
+
+The checks state the definitions: a relation with both sides of every payment, and filtered
+aggregates over it.
+"""
 
 from opsloom.operators import accounts
 from opsloom.plans.catalogue import Tables, query, rounded
 
-SENT = """
-SELECT from_bank || '_' || from_account AS account_key, to_bank || '_' || to_account AS counterparty_key, ts,
-  amount_paid AS amount, payment_currency AS currency, to_bank AS bank, payment_format AS fmt, is_laundering AS label
-FROM v_transactions"""
-RECEIVED = """
-SELECT to_bank || '_' || to_account AS account_key, from_bank || '_' || from_account AS counterparty_key, ts,
-  amount_received AS amount, receiving_currency AS currency, from_bank AS bank, payment_format AS fmt, is_laundering AS label
-FROM v_transactions"""
-SENT_AGG = """
-SELECT account_key, count(*) AS sent_count, CAST(sum(CAST(amount AS DECIMAL(24,6))) AS DOUBLE) AS sent_total,
-  CAST(sum(CAST(amount AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS sent_mean, max(amount) AS sent_max,
-  count(DISTINCT currency) AS sent_currencies, count(DISTINCT bank) AS sent_banks,
-  count(DISTINCT counterparty_key) AS sent_counterparties, count(DISTINCT fmt) AS sent_formats, max(label) AS sent_label
-FROM sent GROUP BY account_key"""
-RECEIVED_AGG = """
-SELECT account_key, count(*) AS received_count, CAST(sum(CAST(amount AS DECIMAL(24,6))) AS DOUBLE) AS received_total,
-  CAST(sum(CAST(amount AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS received_mean, max(amount) AS received_max,
-  count(DISTINCT currency) AS received_currencies, count(DISTINCT bank) AS received_banks,
-  count(DISTINCT counterparty_key) AS received_counterparties, max(label) AS received_label
-FROM received GROUP BY account_key"""
-VELOCITY = """
-SELECT account_key, max(n) AS max_daily_sent FROM (
-  SELECT account_key, CAST(ts AS DATE) AS day, count(*) AS n FROM sent GROUP BY 1, 2) GROUP BY account_key"""
-PAIRS = """
-SELECT account_key, counterparty_key FROM sent INTERSECT SELECT account_key, counterparty_key FROM received"""
-RECIPROCAL = "SELECT account_key, count(*) AS reciprocal_counterparties FROM pairs GROUP BY account_key"
-BASE = f"WITH sent AS ({SENT}), received AS ({RECEIVED})"
-
-
-def _round(sql: str, alias: str, *columns: str) -> str:
-    replaced = ", ".join(f"r4({c}) AS {c}" for c in columns)
-    return f"SELECT * REPLACE ({replaced}) FROM {alias}" if not sql else f"SELECT * REPLACE ({replaced}) FROM ({sql})"
-
-
-@query("account_sent", f"{BASE} {_round(SENT_AGG, '', 'sent_total', 'sent_mean', 'sent_max')}")
+
+def _pick(out: str, back: str) -> str:
+    return f"CASE WHEN outgoing THEN {out} ELSE {back} END"
+
+
+_OWN = _pick("concat(from_bank, '_', from_account)", "concat(to_bank, '_', to_account)")
+_OTHER = _pick("concat(to_bank, '_', to_account)", "concat(from_bank, '_', from_account)")
+SIDES = f"""both_sides AS (SELECT {_OWN} AS account_key, {_OTHER} AS other, outgoing, CAST(ts AS DATE) AS day, is_laundering, payment_format,
+  {_pick('amount_paid', 'amount_received')} AS amount, {_pick('payment_currency', 'receiving_currency')} AS currency, {_pick('to_bank', 'from_bank')} AS other_bank
+  FROM v_transactions, (SELECT unnest([true, false]) AS outgoing)),
+marked AS (SELECT *, count(*) OVER (PARTITION BY account_key, outgoing, day) AS on_day,
+  bool_or(outgoing) OVER pair AND bool_or(NOT outgoing) OVER pair AS mutual FROM both_sides WINDOW pair AS (PARTITION BY account_key, other))"""
+MEASURES = {
+    "count": "count(*) {f}", "total": "CAST(sum(CAST(amount AS DECIMAL(24,6))) {f} AS DOUBLE)",
+    "mean": "CAST(sum(CAST(amount AS DECIMAL(24,6))) {f} AS DOUBLE) / nullif(count(*) {f}, 0)", "max": "max(amount) {f}",
+    "currencies": "count(DISTINCT currency) {f}", "banks": "count(DISTINCT other_bank) {f}", "counterparties": "count(DISTINCT other) {f}",
+    "formats": "count(DISTINCT payment_format) {f}", "label": "max(is_laundering) {f}"}
+MONEY = ("total", "mean", "max")
+SENT = [f"sent_{m}" for m in MEASURES]
+RECEIVED = [f"received_{m}" for m in MEASURES if m != "formats"]
+
+
+def _measure(column: str) -> str:
+    side, _, measure = column.partition("_")
+    return MEASURES[measure].format(f=f"FILTER (WHERE {'outgoing' if side == 'sent' else 'NOT outgoing'})")
+
+
+PROFILE = f"""WITH {SIDES}, profile AS (SELECT account_key, {", ".join(f"{_measure(c)} AS {c}" for c in SENT + RECEIVED)},
+  max(on_day) FILTER (WHERE outgoing) AS max_daily_sent, count(DISTINCT other) FILTER (WHERE mutual) AS reciprocal_counterparties
+  FROM marked GROUP BY account_key)"""
+
+
+def _shown(column: str, fill: bool) -> str:
+    value = f"coalesce({column}, 0)" if fill else column
+    return f"r4({value}) AS {column}" if column.endswith(MONEY) else f"{value} AS {column}"
+
+
+def _columns(names, fill: bool = False) -> str:
+    return ", ".join(_shown(c, fill) for c in names)
+
+
+@query("account_sent", f"{PROFILE} SELECT account_key, {_columns(SENT)} FROM profile WHERE sent_count > 0")
 def _(t: Tables):
     return rounded(accounts.account_sent(t.view("v_transactions")))
 
 
-@query("account_received",
-       f"{BASE} {_round(RECEIVED_AGG, '', 'received_total', 'received_mean', 'received_max')}")
+@query("account_received", f"{PROFILE} SELECT account_key, {_columns(RECEIVED)} FROM profile WHERE received_count > 0")
 def _(t: Tables):
     return rounded(accounts.account_received(t.view("v_transactions")))
 
 
-@query("account_velocity", f"{BASE} {VELOCITY}")
+@query("account_velocity", f"{PROFILE} SELECT account_key, max_daily_sent FROM profile WHERE sent_count > 0")
 def _(t: Tables):
     return accounts.account_velocity(t.view("v_transactions"))
 
 
-@query("pair_intersection", f"{BASE} {PAIRS}")
+@query("pair_intersection", f"WITH {SIDES} SELECT DISTINCT account_key, other AS counterparty_key FROM marked WHERE mutual")
 def _(t: Tables):
     return accounts.pair_intersection(t.view("v_transactions"))
 
 
-@query("reciprocal_pairs", f"{BASE}, pairs AS ({PAIRS}) {RECIPROCAL}")
+@query("reciprocal_pairs", f"{PROFILE} SELECT account_key, reciprocal_counterparties FROM profile WHERE reciprocal_counterparties > 0")
 def _(t: Tables):
     return accounts.reciprocal_pairs(t.view("v_transactions"))
 
 
-_OUTER_COLUMNS = (
-    "sent_count", "sent_total", "sent_mean", "sent_max", "sent_currencies", "sent_banks",
-    "sent_counterparties", "sent_formats", "sent_label", "received_count", "received_total",
-    "received_mean", "received_max", "received_currencies", "received_banks",
-    "received_counterparties", "received_label")
-_MONEY = {"sent_total", "sent_mean", "sent_max", "received_total", "received_mean", "received_max"}
-_PARTS = (f"{BASE}, sent_agg AS ({SENT_AGG}), received_agg AS ({RECEIVED_AGG}), velocity AS ({VELOCITY}), "
-          f"pairs AS ({PAIRS}), reciprocal AS ({RECIPROCAL})")
-
-
-def _zero(column: str) -> str:
-    return f"r4(coalesce({column}, 0))" if column in _MONEY else f"coalesce({column}, 0)"
-
-
-@query("full_outer_features", f"""{_PARTS}
-SELECT coalesce(s.account_key, r.account_key) AS account_key,
-  {", ".join(f"{_zero(c)} AS {c}" for c in _OUTER_COLUMNS)}
-FROM sent_agg s FULL OUTER JOIN received_agg r ON s.account_key = r.account_key""")
+@query("full_outer_features", f"{PROFILE} SELECT account_key, {_columns(SENT + RECEIVED, fill=True)} FROM profile")
 def _(t: Tables):
     ledger = t.view("v_transactions")
     return rounded(accounts.full_outer_features(accounts.account_sent(ledger), accounts.account_received(ledger)))
 
 
-_PLAIN = [c for c in accounts.FEATURES if c not in
-          ("max_daily_sent", "reciprocal_counterparties", "received_sent_ratio", "reciprocity_ratio")]
-FEATURES_SQL = f"""{_PARTS}
-SELECT coalesce(s.account_key, r.account_key) AS account_key, {", ".join(f"{_zero(c)} AS {c}" for c in _PLAIN)},
-  coalesce(v.max_daily_sent, 0) AS max_daily_sent,
-  coalesce(p.reciprocal_counterparties, 0) AS reciprocal_counterparties,
-  r4(coalesce(r.received_total, 0) / nullif(coalesce(s.sent_total, 0), 0)) AS received_sent_ratio,
-  r4(coalesce(p.reciprocal_counterparties, 0)::DOUBLE
-    / nullif(coalesce(s.sent_counterparties, 0) + coalesce(r.received_counterparties, 0), 0)) AS reciprocity_ratio,
-  greatest(coalesce(s.sent_label, 0), coalesce(r.received_label, 0)) AS label
-FROM sent_agg s FULL OUTER JOIN received_agg r ON s.account_key = r.account_key
-LEFT JOIN velocity v ON coalesce(s.account_key, r.account_key) = v.account_key
-LEFT JOIN reciprocal p ON coalesce(s.account_key, r.account_key) = p.account_key"""
+RATIOS = {"received_sent_ratio": "coalesce(received_total, 0) / nullif(sent_total, 0)",
+          "reciprocity_ratio": "reciprocal_counterparties::DOUBLE / nullif(sent_counterparties + received_counterparties, 0)"}
+FEATURES_SQL = f"""{PROFILE} SELECT account_key, {_columns([c for c in accounts.FEATURES if c not in RATIOS], fill=True)},
+  {", ".join(f"r4({sql}) AS {name}" for name, sql in RATIOS.items())}, greatest(coalesce(sent_label, 0), coalesce(received_label, 0)) AS label FROM profile"""
 
 
 @query("account_features", FEATURES_SQL)

@@ -85,7 +85,7 @@ def _(t: Tables):
 
 
 @query("heatmap_weekday_hour", f"WITH {PREPARED} SELECT weekday, " + ", ".join(
-    f"r4(avg(late) FILTER (WHERE hour = {h}) * 100) AS h{h:02d}" for h in range(24)) + " FROM prepared GROUP BY 1")
+    f"r4(avg(late) FILTER (WHERE hour = {h}) * 100) AS h{h:02d}" for h in range(25)) + " FROM prepared GROUP BY 1")
 def _(t: Tables):
     return rounded(flights.heatmap_weekday_hour(prepared(t)))
 

@@ -12,8 +12,6 @@ from opsloom.plans.timeseries import forecast as volume_forecast
 from opsloom.plans.workload import detail
 from opsloom.sources.tables import staged
 
-TREES, ROUNDS = 20, 5
-
 
 def account_split(t: Tables):
     rows = staged(accounts.fill_null_inf(accounts.account_features(t.view("v_transactions"))), "accounts")
@@ -22,7 +20,7 @@ def account_split(t: Tables):
 
 
 def forest(t: Tables, parts, depths=(8,)):
-    return models.train_rf_classifier(parts["train"], parts["validation"], accounts.FEATURES, "label", depths, TREES)
+    return models.train_rf_classifier(parts["train"], parts["validation"], accounts.FEATURES, "label", depths)
 
 
 @query("train_rf_classifier")
@@ -34,7 +32,7 @@ def _(t: Tables):
 def _(t: Tables):
     parts = account_split(t)
     return rounded(models.train_boosted_classifier(
-        parts["train"], parts["validation"], accounts.FEATURES, "label", rounds=ROUNDS).results)
+        parts["train"], parts["validation"], accounts.FEATURES, "label").results)
 
 
 @query("feature_importance")
@@ -74,13 +72,13 @@ def risk_rows(t: Tables):
     return rows, staged(timeseries.chrono_split(late, "created", ["task_id", "load_pos"]), "risk")
 
 
-def risk_tree(rows, depths=(4,), leaves=(20,)):
-    return models.train_tree_classifier(rows.where("split = 'train'"), rows.where("split = 'validation'"), RISK_FEATURES, "late", depths, leaves)
+def risk_tree(rows):
+    return models.train_tree_classifier(rows.where("split = 'train'"), rows.where("split = 'validation'"), RISK_FEATURES, "late")
 
 
 @query("train_tree_classifier")
 def _(t: Tables):
-    return rounded(risk_tree(risk_rows(t)[1], (4, 6, 8), (20, 50)).results)
+    return rounded(risk_tree(risk_rows(t)[1]).results)
 
 
 @query("score_open_items")
@@ -120,7 +118,7 @@ def _parts(rows):
 
 @query("train_linear_regs")
 def _(t: Tables):
-    trained = models.train_linear_regs(*_parts(load_rows(t)), LOAD_FEATURES, "load", ridge=(0.1, 1.0, 10.0), net=((0.1, 0.5), (1.0, 0.5)))
+    trained = models.train_linear_regs(*_parts(load_rows(t)), LOAD_FEATURES, "load")
     both = [m.results.withColumn("family", F.lit(name)) for name, m in trained.items()]
     return rounded(both[0].unionByName(both[1]))
 
@@ -128,20 +126,20 @@ def _(t: Tables):
 @query("zeroed_features")
 def _(t: Tables):
     train, held = _parts(load_rows(t))
-    net = models.train_linear_regs(train, held, LOAD_FEATURES, "load", ridge=(1.0,), net=((1.0, 0.8),))["elastic_net"]
+    net = models.train_linear_regs(train, held, LOAD_FEATURES, "load")["elastic_net"]
     return models.zeroed_features(net.model, LOAD_FEATURES, t.spark)
 
 
 @query("train_boosted_regressor")
 def _(t: Tables):
-    return rounded(models.train_boosted_regressor(*_parts(load_rows(t)), LOAD_FEATURES, "load", depths=(3, 4), rates=(0.1,), rounds=15).results)
+    return rounded(models.train_boosted_regressor(*_parts(load_rows(t)), LOAD_FEATURES, "load").results)
 
 
 @query("backtest_table")
 def _(t: Tables):
     rows = load_rows(t)
     train, held = _parts(rows)
-    ridge = models.train_linear_regs(train, held, LOAD_FEATURES, "load", ridge=(1.0,), net=((0.1, 0.5),))["ridge"]
+    ridge = models.train_linear_regs(train, held, LOAD_FEATURES, "load")["ridge"]
     cuts = rows.groupBy("split").agg(F.max("day").alias("d")).collect()  # three rows
     ends = {r["split"]: r["d"] for r in cuts}
     return rounded(models.backtest_table(ridge.model, rows.drop("split"), "day", "load", ends["train"], ends["validation"], "ridge"))
@@ -208,7 +206,7 @@ def anomaly_rows(t: Tables):
 
 @query("train_isolation_forest")
 def _(t: Tables):
-    nodes = isolation.train(anomaly_rows(t).where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS, trees=50)
+    nodes = isolation.train(anomaly_rows(t).where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS)
     return nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n_nodes"), F.max("depth").alias("depth"),
                                      F.max(F.when(F.col("node") == 1, F.col("rows"))).alias("sample_rows"))
 
@@ -216,7 +214,7 @@ def _(t: Tables):
 @query("score_isolation")
 def _(t: Tables):
     rows = anomaly_rows(t)
-    nodes, cut = isolation.train_flagging(rows.where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS, 50, 0.02)
+    nodes, cut = isolation.train_flagging(rows.where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS, 100, 0.02)
     scored = isolation.flagged(isolation.score(rows, nodes, ANOMALY_FEATURES), cut)
     return rounded(scored.select(*TASK_IDS, "service", "split", "anomaly_score", "decision", "is_anomaly"), 6)
 
@@ -225,13 +223,13 @@ def _(t: Tables):
 def _(t: Tables):
     rows = anomaly_rows(t)
     return rounded(isolation.search_trees(rows.where("split = 'train'"), rows.where("split = 'validation'").drop("split"),
-                                          ANOMALY_FEATURES, TASK_IDS, counts=(25, 50)))
+                                          ANOMALY_FEATURES, TASK_IDS))
 
 
 @query("anomaly_drivers")
 def _(t: Tables):
     rows = anomaly_rows(t)
-    nodes = staged(isolation.train(rows.where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS, trees=50), "nodes")
+    nodes = staged(isolation.train(rows.where("split = 'train'"), ANOMALY_FEATURES, TASK_IDS), "nodes")
     return rounded(isolation.drivers(rows, nodes, ANOMALY_FEATURES, TASK_IDS), 6)
 
 

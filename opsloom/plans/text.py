@@ -141,12 +141,9 @@ def _(t: Tables):
     return guard.guarded_route(replies(t), ["conv_id", "turn"], "question", "answer", "context", known).select("conv_id", "turn", "route")
 
 
-@query("conversation_pack", r"""SELECT conv_id, turn // 64 AS page, count(*) AS n_messages, string_agg(concat(CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END, ': ', text), '|' ORDER BY turn) AS history
-FROM conversations GROUP BY 1, 2""")
+@query("conversation_pack", "SELECT conv_id, turn AS position, CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role, text AS content FROM conversations")
 def _(t: Tables):
-    packed = guard.conversation_pack(t.raw("conversations"))
-    return packed.select("conv_id", "page", F.size("messages").cast("bigint").alias("n_messages"), F.array_join(F.transform(
-        "messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "|").alias("history"))
+    return guard.conversation_pack(t.raw("conversations"))
 
 
 _CATEGORY = """CASE WHEN ends_with(path, '_FAQ.docx') THEN 'FAQ' WHEN ends_with(path, '_CGU.docx') THEN 'CGU' WHEN ends_with(path, '_Politique_Retour.docx') THEN 'Politique de retour'
@@ -209,4 +206,4 @@ def _(t: Tables):
 SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, r4(distance) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 4""")
 def _(t: Tables):
     base = t.raw("embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return rounded(vectors.blocked_topk(base, base, 4, exclude_self=True, block_rows=256))
+    return rounded(vectors.vector_topk(base, base, 4, exclude_self=True, block_rows=256))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opsloom.operators import metrics, timeseries
+from opsloom.operators import flights, metrics, timeseries, workload
 from opsloom.operators.ordering import exact_percentiles, global_position, running_totals, tie_key
 
 
@@ -53,6 +53,28 @@ def test_stratified_sizes(spark):
         ("test", 0): 54, ("validation", 0): 54, ("train", 0): 252, ("test", 1): 6, ("validation", 1): 6, ("train", 1): 28}
 
 
+def test_every_label_value_is_split(spark):
+    labels = F.when(F.col("id") < 300, 0).when(F.col("id") < 500, 1).when(F.col("id") < 600, 2)
+    rows = spark.range(700).select("id", labels.alias("y"))
+    out = metrics.stratified_split(rows, "y", ["id"]).groupBy("split", "y").count().collect()
+    assert {(r["split"], r["y"]): r["count"] for r in out} == {
+        (part, y): round(n * share) for y, n in ((0, 300), (1, 200), (2, 100), (None, 100))
+        for part, share in (("test", 0.15), ("validation", 0.15), ("train", 0.70))}
+    assert metrics.stratified_split(rows.limit(0), "y", ["id"]).count() == 0
+
+
+def test_heat_map_keeps_hour_24(spark):
+    rows = spark.createDataFrame([(0, 24, 1), (0, 24, 0), (0, 3, 0)], "weekday int, hour int, late int")
+    row = flights.heatmap_weekday_hour(rows).first()
+    assert (row["h24"], row["h03"], row["h05"]) == (50.0, 0.0, None)
+
+
+def test_group_statistics_keep_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, x double")
+    out = workload.backjoin(rows, ["k"], mean=F.avg("x"))
+    assert sorted((r["k"] or "", r["mean"]) for r in out.collect()) == [("", 2.0), ("", 2.0), ("a", 5.0)]
+
+
 def curve(spark, pairs):
     return metrics.pr_curve(spark.createDataFrame(pairs, "s double, y int"), "s", "y")
 

@@ -85,7 +85,7 @@ def test_blocked_neighbours_match_brute_force(spark, block_rows):
     matrix[40:60] = matrix[7]  # copies: a tie group larger than k
     matrix[61] = 0
     rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], "id long, embedding array<float>")
-    out = vectors.blocked_topk(rows, rows, 4, exclude_self=True, block_rows=block_rows).collect()
+    out = vectors.vector_topk(rows, rows, 4, exclude_self=True, block_rows=block_rows).collect()
     exact = np.sqrt(((matrix[:, None, :].astype(float) - matrix[None].astype(float)) ** 2).sum(-1))
     for q in range(80):
         order = sorted((i for i in range(80) if i != q), key=lambda i: (exact[q, i], i))[:4]
@@ -97,8 +97,23 @@ def test_k_larger_than_base(spark):
     assert vectors.vector_topk(rows, rows, 10).count() == 9
 
 
-def test_conversation_pages(spark):
+def test_conversation_history_stays_whole(spark):
     rows = spark.createDataFrame([(1, i, "system" if i == 0 else "user", f"m{i}") for i in range(150)], "conv_id long, turn long, role string, text string")
-    out = guard.conversation_pack(rows).orderBy("page").collect()
-    assert [len(r["messages"]) for r in out] == [64, 64, 22] and out[0]["messages"][0]["role"] == "assistant"
-    assert [m["content"] for r in out for m in r["messages"]] == [f"m{i}" for i in range(150)]
+    out = guard.conversation_pack(rows).orderBy("position").collect()
+    assert [r["content"] for r in out] == [f"m{i}" for i in range(150)]
+    assert out[0]["role"] == "assistant" and {r["role"] for r in out[1:]} == {"user"}
+
+
+def test_same_neighbours_below_and_above_one_block_of_queries(spark):
+    base = spark.range(50).select("id", F.array(F.col("id").cast("float"), F.lit(0.0).cast("float")).alias("embedding"))
+    for n in (100, 4200):
+        queries = spark.range(n).select("id", F.array((F.col("id") % 50).cast("float"), F.lit(0.0).cast("float")).alias("embedding"))
+        near = vectors.vector_topk(queries, base, 1).where(F.col("vec_id") == F.col("query_id") % 50)
+        assert near.count() == n
+
+
+def test_lemmatise_with_two_lemmas_and_a_repeated_key(spark):
+    rows = spark.createDataFrame([(1, ["cats", "dog"]), (1, ["cats"])], "id int, tokens array<string>")
+    lexicon = spark.createDataFrame([("cats", "cat"), ("cats", "catt"), ("cats", "cat")], "form string, lemma string")
+    out = text.lemmatise(rows, "id", "tokens", lexicon).collect()
+    assert sorted(r["tokens"] for r in out) == [["cat"], ["cat", "dog"]]
