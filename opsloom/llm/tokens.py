@@ -35,6 +35,8 @@ BLOCK = 1 << 20  # ids in a block
 END_ID = 0
 MARKS = ".,;:!?*$%&#-()\""
 MOST_PIECES = 400_000
+TOGETHER = 256  # pieces in one call of the tokenizer
+WORD = re.compile(r" ?\S+")
 
 
 class _Pieces(dict):
@@ -71,6 +73,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.reset()
 
     def reset(self) -> None:
@@ -89,15 +92,41 @@ class Encoder:
         upto = np.cumsum(sizes)
         return self.ids[np.repeat(self.starts[numbers] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
 
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each piece, and all ids."""
+        new = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        return sizes, np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(sizes.sum()))
+
+    def _words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces without white space but a leading blank, many to a call.
+
+        A line feed between two pieces is a piece of its own and no other piece holds its id; where
+        the ids show anything else, the pieces are encoded one by one.
+        """
+        groups = [pieces[k : k + TOGETHER] for k in range(0, len(pieces), TOGETHER)]
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(list(map("\n".join, groups)), add_special_tokens=False)):
+            some = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(some == self.line[0])
+            if len(self.line) == 1 and len(ends) == len(group) - 1:
+                sizes.append(np.diff(ends, prepend=-1, append=len(some)) - 1)
+                ids.append(np.delete(some, ends))
+            else:
+                one, own = self._each(group)
+                sizes.append(one)
+                ids.append(own)
+        return np.concatenate(sizes), np.concatenate(ids)
+
     def _learn(self) -> None:
         if not self.queue:
             return
         first = len(self.starts)
-        whole = [k for k, x in enumerate(self.queue) if type(x) is str]
-        pairs = [k for k, x in enumerate(self.queue) if type(x) is tuple]
-        new = [e.ids for e in self.tokenizer.encode_batch_fast([self.queue[k] for k in whole], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        ids = np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(sizes.sum()))
+        kinds = [2 if type(x) is tuple else 0 if WORD.fullmatch(x) else 1 for x in self.queue]
+        words, others, pairs = ([k for k, kind in enumerate(kinds) if kind == wanted] for wanted in range(3))
+        whole = words + others
+        both = (self._words([self.queue[k] for k in words]), self._each([self.queue[k] for k in others]))
+        sizes, ids = (np.concatenate(x) for x in zip(*both))
         more = np.zeros(len(self.queue), np.int64)
         self.starts, self.sizes = np.concatenate([self.starts, more]), np.concatenate([self.sizes, more])
         at = first + np.array(whole, np.int64)
