@@ -13,8 +13,11 @@ Documents with the same shingle set are one class. Links between classes are fou
 3. What is left is verified on the whole sets. Pairs already connected are skipped.
 
 A cluster is dealt into parts of about 200 classes; a few classes (pivots) go to every part. After the
-parts are done, classes outside the largest component of their cluster go to all its parts, so all
-pairs that could still join components are compared, wherever they stand.
+parts are done, classes outside the largest component of their cluster (open) are joined with all
+classes of the cluster on the tokens of the lossless prefix, rarest first. Rarity is counted in a table
+of fixed size; any order is lossless. A token of many classes is dealt in pairs of blocks, and only
+pairs of different components whose places of the token allow the similarity are verified, so all
+pairs that could still join components are compared and no task holds more than a block.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from opsloom.llm.shared import LOWEST, staged, tasks
 
 MISS = 1e-9
 PART, PIVOTS = 200, 8
+BLOCK = 1000  # classes of one token, or neighbours of one class, that meet in one group of the second turn
+COUNTERS = 1 << 20
 FILTER_ORDERS = (101, 102, 103)
 
 
@@ -107,16 +112,11 @@ def least_overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _links(sets: list[np.ndarray], percent: int, group: list[int], wanted=None) -> list[tuple[int, int]]:
-    """Links that connect the sets; `group` holds the component of each and is updated.
-
-    wanted: pairs to look at, a boolean matrix; all by default.
-    """
+def _links(sets: list[np.ndarray], percent: int, group: list[int]) -> list[tuple[int, int]]:
+    """Links that connect the sets; `group` holds the component of each and is updated."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     fits = 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
-    if wanted is not None:
-        fits &= wanted
     for seed in FILTER_ORDERS:
         tokens, owner = [], []
         for k, s in enumerate(sets):
@@ -151,29 +151,25 @@ def _links(sets: list[np.ndarray], percent: int, group: list[int], wanted=None)
     return found
 
 
-def _within_parts(size: int, percent: int):
-    """Rows (cluster, part, open, label, class, text) in order; links between the classes of a part.
+def _set_of(name: int, text: str | None, size: int) -> np.ndarray | None:
+    """Shingles of the text; none for another text of the same key, which is not this class."""
+    raw = (text or "").encode()
+    tokens = next(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), size))
+    return tokens if class_name(tokens) == name else None
 
-    With open rows (second turn) only pairs with an open class are compared, and classes of the same
-    label count as connected.
-    """
+
+def _within_parts(size: int, percent: int):
+    """Rows (cluster, part, class, text) in order; links between the classes of a part."""
 
     def of_part(rows: list[tuple]) -> list[tuple[int, int]]:
-        seen: dict[int, tuple] = {}
-        for _, _, is_open, label, name, text in rows:
-            if name not in seen:
-                raw = (text or "").encode()
-                tokens = next(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), size))
-                if class_name(tokens) == name:  # another text of the same key is not this class
-                    seen[name] = (tokens, is_open, label)
+        seen: dict[int, np.ndarray] = {}
+        for _, _, name, text in rows:
+            if name not in seen and (tokens := _set_of(name, text, size)) is not None:
+                seen[name] = tokens
         names = list(seen)
         if len(names) < 2:
             return []
-        flags = np.array([seen[x][1] for x in names])
-        first_of: dict[int, int] = {}
-        group = [first_of.setdefault(x if seen[x][2] is None else seen[x][2], k) for k, x in enumerate(names)]
-        wanted = flags[:, None] | flags[None, :] if flags.any() else None
-        return [(names[i], names[j]) for i, j in _links([seen[x][0] for x in names], percent, group, wanted)]
+        return [(names[i], names[j]) for i, j in _links(list(seen.values()), percent, list(range(len(names))))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -183,7 +179,8 @@ def _within_parts(size: int, percent: int):
                 if held and held[-1][:2] != row[:2]:
                     found += of_part(held)
                     held = []
-                held.append(row)
+                if not held or held[-1] != row:  # repeated documents are one class
+                    held.append(row)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
         if found := of_part(held):
@@ -195,12 +192,134 @@ def _within_parts(size: int, percent: int):
 def _dealt(rows: DataFrame, size: int, percent: int) -> DataFrame:
     n = tasks(rows.sparkSession)
     return (
-        rows.select("cluster", "part", "open", "label", "class", "text")
+        rows.select("cluster", "part", "class", "text")
         .repartition(n, "cluster", "part").sortWithinPartitions("cluster", "part", "class")
         .mapInArrow(_within_parts(size, percent), "a long, b long")
     )
 
 
+def _counter(ranks: np.ndarray) -> np.ndarray:
+    return (ranks % U(COUNTERS)).astype(np.int64)
+
+
+def _counts(size: int):
+    """Rows (text): how many shingles fall on each counter, (counter, n) for the used ones of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for _, data, offsets in slices(batch.column(0)):
+                for tokens in shingle_sets(data, offsets, size):
+                    np.add.at(total, _counter(mixed(tokens, FILTER_ORDERS[0])), 1)
+        used = np.flatnonzero(total)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["counter", "n"])
+
+    return run
+
+
+def _prefixes(size: int, percent: int, counts: np.ndarray):
+    """Rows (cluster, label, open, class, text): the lossless prefix of each class, rarest tokens first.
+
+    (cluster, label, open, class, n, place, token); place counts the tokens before it in the order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["cluster", "label", "open", "class", "n", "place", "token"]
+        for batch in batches:
+            rows, prefixes, sizes = [], [], []
+
+            def sent() -> pa.RecordBatch:
+                long = [len(p) for p in prefixes]
+                columns = [np.repeat(np.array(c), long) for c in zip(*rows)]
+                return pa.RecordBatch.from_arrays([
+                    *(pa.array(c) for c in columns), pa.array(np.repeat(sizes, long), pa.int32()),
+                    pa.array(np.concatenate([np.arange(x) for x in long]), pa.int32()),
+                    pa.array(np.concatenate(prefixes).view(np.int64))], names)
+
+            held = 0
+            for *row, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (tokens := _set_of(row[-1], text, size)) is None:
+                    continue
+                ranks = mixed(tokens, FILTER_ORDERS[0])
+                kept = len(ranks) + percent * len(ranks) // -100 + 1
+                rows.append(row)
+                prefixes.append(ranks[np.lexsort((ranks, counts[_counter(ranks)]))[:kept]])
+                sizes.append(len(ranks))
+                held += kept
+                if held >= 1 << 18:
+                    yield sent()
+                    rows, prefixes, sizes, held = [], [], [], 0
+            if rows:
+                yield sent()
+
+    return run
+
+
+def _candidates(tokens: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of a cluster, a open, that share a prefix token and may be similar enough.
+
+    A token of more than BLOCK classes is dealt in pairs of blocks. The first token that a pair shares
+    bounds the intersection by what is left of both sets, so a link passes at that token at least.
+    """
+    groups = (
+        tokens.groupBy("cluster", "token").agg(F.count(F.lit(1)).alias("m"), F.max("open").alias("any"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("any AND low <> high").select("cluster", "token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    )
+    rows = tokens.join(groups.hint("merge"), ["cluster", "token"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = rows.filter("open").select("cluster", "token", F.col("block").alias("i"), others.alias("j"), F.col("class").alias("a"),
+                                      F.col("label").alias("label_a"), (F.col("n") - F.col("place")).alias("rest_a"), F.col("n").alias("n_a"))
+    right = rows.select("cluster", "token", others.alias("i"), F.col("block").alias("j"), F.col("class").alias("b"), F.col("label").alias("label_b"),
+                        F.col("open").alias("open_b"), (F.col("n") - F.col("place")).alias("rest_b"), F.col("n").alias("n_b"))
+    pairs = left.join(right.hint("merge"), ["cluster", "token", "i", "j"])
+    enough = F.least("rest_a", "rest_b").cast("long") * (100 + percent) >= (F.col("n_a") + F.col("n_b")).cast("long") * percent
+    return pairs.filter((F.col("label_a") != F.col("label_b")) & (~F.col("open_b") | (F.col("a") < F.col("b"))) & enough).select("a", "b").distinct()
+
+
+def _verified(size: int, percent: int):
+    """Rows (a, block, b, text) in order, the text of a first (b null): the pairs that are links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, one = None, None
+        for batch in batches:
+            found = []
+            for a, block, b, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (a, block) != head:
+                    head, one = (a, block), None
+                if b is None:
+                    one = _set_of(a, text, size) if one is None else one
+                elif one is not None and (two := _set_of(b, text, size)) is not None:
+                    both = len(np.intersect1d(one, two, assume_unique=True))
+                    if 100 * both >= percent * (len(one) + len(two) - both):
+                        found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    return run
+
+
+def _open_links(held: DataFrame, state: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links of open classes with classes of other components; state: (class, label, open)."""
+    n = tasks(held.sparkSession)
+    rows = held.join(state.hint("merge"), "class").dropDuplicates(["class", "text"])
+    counted = rows.select("text").mapInArrow(_counts(size), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    counts = np.zeros(COUNTERS, np.int64)
+    used = counted.toArrow()  # at most COUNTERS rows
+    counts[np.asarray(used["counter"])] = np.asarray(used["n"])
+    tokens = staged(rows.select("cluster", "label", "open", "class", "text").mapInArrow(
+        _prefixes(size, percent, counts), "cluster long, label long, open boolean, class long, n int, place int, token long"), "open-prefixes")
+    pairs = staged(_candidates(tokens, percent), "open-pairs")
+    wide = staged(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "open-degrees")
+    texts = rows.select("class", "text")
+    heads = texts.join(wide.withColumnRenamed("a", "class").hint("merge"), "class").select(
+        F.col("class").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), "text")
+    lists = pairs.join(wide.hint("merge"), "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.col("b").alias("class"))
+    members = texts.join(lists.hint("merge"), "class").select("a", "block", F.col("class").alias("b"), "text")
+    dealt = heads.unionByName(members).repartition(n, "a", "block").sortWithinPartitions("a", "block", "b")
+    return dealt.mapInArrow(_verified(size, percent), "a long, b long")
+
+
 def shingle_components(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id) of every row.
 
@@ -248,9 +367,7 @@ def _cluster_links(rows: DataFrame, found: DataFrame, clusters: DataFrame, perce
     # the list grows with the table, so the plan is a merge join at every size
     held = staged(texts.join(chosen.hint("merge"), ["place", "text_key"]).select("class", "cluster", "parts", "part", "pivot", "text"), "cluster-texts")
     everywhere = F.when(F.col("pivot") & (F.col("parts") > 1), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
-    no_label = F.lit(None).cast("long")
-    first = staged(_dealt(
-        held.withColumn("part", F.explode(everywhere)).withColumns({"open": F.lit(False), "label": no_label}), size, percent), "part-links")
+    first = staged(_dealt(held.withColumn("part", F.explode(everywhere)), size, percent), "part-links")
     several = chosen.filter("parts > 1").select("class", "cluster")
     if several.isEmpty():
         return first
@@ -264,11 +381,12 @@ def _cluster_links(rows: DataFrame, found: DataFrame, clusters: DataFrame, perce
         labels.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("m")).select("cluster", F.col("m.label").alias("main"))
     )
-    state = staged(labels.join(main, "cluster").select("class", "label", (F.col("label") != F.col("main")).alias("open")), "open")
-    turned = held.filter("parts > 1").join(state, "class")
-    everywhere = F.when(F.col("open"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
-    second = _dealt(turned.withColumn("part", F.explode(everywhere)), size, percent)
-    return first.unionByName(staged(second, "open-links"))
+    state = labels.join(main, "cluster").select("class", "cluster", "label", (F.col("label") != F.col("main")).alias("open"))
+    undone = state.filter("open").select("cluster").distinct()
+    state = staged(state.join(undone, "cluster", "left_semi").drop("cluster"), "open")
+    if state.isEmpty():
+        return first
+    return first.unionByName(staged(_open_links(held.filter("parts > 1"), state, percent, size), "open-links"))
 
 
 def one_per_component(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame:

@@ -71,6 +71,28 @@ def test_clusters_of_many_parts(spark, monkeypatch):
     assert sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in jc.shingle_components(docs).collect()))) == expected
 
 
+def test_open_classes_stay_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(jc, "PART", 12)
+    monkeypatch.setattr(jc, "PIVOTS", 2)
+    monkeypatch.setattr(jc, "BLOCK", 1, raising=False)
+    rng = random.Random(5)
+    template = [f"w{k}" for k in range(150)]
+    # one cluster: a shared passage at about 0.6 that links nothing, and linked pairs here and there
+    rows = [(k, " ".join(template + [f"u{k}_{x}" for x in range(50)])) for k in range(150)]
+    rows += [(1000 + k, rows[k][1] + f" v{k}") for k in rng.sample(range(150), 40)]
+    held, dealt = [], jc._dealt
+
+    def watched(parts, *rest):
+        held.append(max(r["count"] for r in parts.select("cluster", "part", "class").distinct().groupBy("cluster", "part").count().collect()))
+        return dealt(parts, *rest)
+
+    monkeypatch.setattr(jc, "_dealt", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in jc.shingle_components(docs, 90).collect())))
+    assert got == sorted(map(str, plain(rows)))
+    assert max(held) < 60, held  # before: a part held each of the 190 open classes
+
+
 def test_long_chains(spark):
     chain = spark.createDataFrame([(f"{k * 7919 % 211:03d}", f"{(k + 1) * 7919 % 211:03d}") for k in range(200)] + [("x", "y")], "a string, b string")
     roots = components(chain).collect()
