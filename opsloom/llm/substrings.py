@@ -8,10 +8,12 @@ Counting names and segment digests by a grouped aggregation leaves few segments
 - a name that occurs once has no repeated window
 - a segment whose (name, digest) occurs twice is repeated with all its windows
 - names with different segments go on: one occurrence of each segment is sorted
+- names with more than HOT different segments are not gathered: the windows of one occurrence of each are
+  dealt by name and a 128-bit digest of their 400 bytes over all tasks, and equal neighbours are repeated
 
 Sort. Tasks sort the segments of their documents (name, then bytes) and exchange front-coded runs: the
 length of the prefix shared with the entry before, and the rest. The receiving task merges the runs
-with a loser tree that keeps, for every contender, its common prefix with the last winner: unequal
+of one target after the other (a target has about MERGED_AT_ONCE segments) with a loser tree that keeps, for every contender, its common prefix with the last winner: unequal
 prefixes decide without looking at the bytes, equal ones are compared only behind them. In the merged
 order all segments of a name are neighbours; their window suffixes are sorted, and neighbours that
 share 400 bytes are repeated.
@@ -35,6 +37,8 @@ from opsloom.llm.shared import LOWEST, staged, tasks
 LENGTH, REACH = 400, 128
 GRAM = LENGTH - REACH + 1
 SORTED_AT_ONCE = 1 << 15
+HOT = SORTED_AT_ONCE // REACH  # segments of one name that are sorted together
+MERGED_AT_ONCE = 20_000  # segments of one target, on average
 
 
 def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -247,9 +251,7 @@ def _runs(n: int):
     return run
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs of a receiving task: (name, digest, low, high) ranges of repeated window starts."""
-    runs = [raw for batch in batches for raw in batch.column(1).to_pylist()]
+def _of_target(runs: list[bytes]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple[int, int, int, int]] = []
 
     def solved(group: list[tuple[bytes, bytes]]) -> None:
@@ -274,6 +276,67 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["name", "digest", "low", "high"])
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs in order of their targets: (name, digest, low, high) ranges of repeated window starts."""
+    runs: list[bytes] = []
+    target = None
+    for batch in batches:
+        for to, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if to != target:
+                yield from _of_target(runs)
+                runs, target = [], to
+            runs.append(raw)
+    yield from _of_target(runs)
+
+
+def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (hot segments of a document, text): (name, window, digest, at) of every window start."""
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["name", "window", "digest", "at"])
+
+    rows: list[tuple[int, bytes, int, int]] = []
+    for batch in batches:
+        for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            raw = (text or "").encode()
+            for s in wanted:
+                for at in range(s["first"], s["last"] + 1):
+                    window = hashlib.blake2b(raw[at : at + LENGTH], digest_size=16).digest()
+                    rows.append((s["name"], window, s["digest"], at - s["first"]))
+                if len(rows) >= 1 << 16:
+                    yield sent(rows)
+                    rows = []
+    if rows:
+        yield sent(rows)
+
+
+def _equal_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (name, window, digest, at) in order: (name, digest, at) of windows that occur more than once."""
+    before, is_sent = None, False
+    for batch in batches:
+        out: list[tuple[int, int, int]] = []
+        for name, window, digest, at in zip(*(c.to_pylist() for c in batch.columns)):
+            same = before is not None and before[:2] == (name, window)
+            if same:
+                if not is_sent:
+                    out.append((before[0], *before[2:]))
+                out.append((name, digest, at))
+            before, is_sent = (name, window, digest, at), same
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["name", "digest", "at"])
+
+
+def _hot_ranges(texts: DataFrame, n: int) -> DataFrame:
+    """(name, digest, low, high) ranges of repeated window starts of hot segments (wanted, text)."""
+    windows = texts.mapInArrow(_hot_windows, "name long, window binary, digest long, at long")
+    found = windows.repartition(n, "name", "window").sortWithinPartitions("name", "window").mapInArrow(_equal_neighbours, "name long, digest long, at long")
+    place = F.row_number().over(Window.partitionBy("name", "digest").orderBy("at"))  # at most REACH rows
+    return (
+        found.distinct().withColumn("run", F.col("at") - place).groupBy("name", "digest", "run")
+        .agg(F.min("at").alias("low"), F.max("at").alias("high")).drop("run")
+    )
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     for batch in batches:
@@ -313,18 +376,27 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     of_name = Window.partitionBy("name")
     repeated = staged(
         counted.withColumns({"all": F.sum("n").over(of_name), "kinds": F.count(F.lit(1)).over(of_name)}).filter("all > 1")
-        .select("name", "digest", (F.col("n") > 1).alias("whole"), (F.col("kinds") > 1).alias("several")), "repeated-segments")
+        .select("name", "digest", (F.col("n") > 1).alias("whole"), (F.col("kinds") > 1).alias("several"), (F.col("kinds") > HOT).alias("hot")), "repeated-segments")
     located = staged(
         rows.select("place", "text_key", "text").mapInArrow(_located, "place long, text_key long, name long, digest long, first long, last long")
         .join(repeated, ["name", "digest"]), "located-segments")
-    one_each = (
-        located.filter("several").groupBy("name", "digest", "whole")
-        .agg(F.min(F.struct("place", "text_key", "first", "last")).alias("s"))
-        .groupBy("s.place", "s.text_key").agg(F.collect_list(F.struct("name", "digest", "whole", "s.first", "s.last")).alias("wanted"))
-    )
     texts = rows.select("place", "text_key", "text")
-    runs = texts.join(one_each, ["place", "text_key"]).select("wanted", "text").mapInArrow(_runs(n), "target int, run binary")
-    found = staged(runs.repartitionById(n, F.col("target")).mapInArrow(_merged, "name long, digest long, low long, high long"), "repeated-windows")
+
+    def wanted(found: DataFrame) -> DataFrame:
+        """(wanted, text): one occurrence of each segment, by document."""
+        one_each = (
+            found.groupBy("name", "digest", "whole")
+            .agg(F.min(F.struct("place", "text_key", "first", "last")).alias("s"))
+            .groupBy("s.place", "s.text_key").agg(F.collect_list(F.struct("name", "digest", "whole", "s.first", "s.last")).alias("wanted"))
+        )
+        return texts.join(one_each, ["place", "text_key"]).select("wanted", "text")
+
+    targets = n * -(-max(repeated.filter("several AND NOT hot").count(), 1) // (n * MERGED_AT_ONCE))
+    runs = wanted(located.filter("several AND NOT hot")).mapInArrow(_runs(targets), "target int, run binary")
+    found = runs.repartitionById(n, F.col("target") % n).sortWithinPartitions("target").mapInArrow(_merged, "name long, digest long, low long, high long")
+    if not repeated.filter("hot").isEmpty():
+        found = found.unionByName(_hot_ranges(wanted(located.filter("hot")), n))
+    found = staged(found, "repeated-windows")
     spans = located.filter("whole").select("place", "text_key", F.col("first").alias("low"), (F.col("last") + LENGTH).alias("high")).unionByName(
         located.filter("several AND NOT whole").join(found, ["name", "digest"])
         .select("place", "text_key", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high") + LENGTH).alias("high")))

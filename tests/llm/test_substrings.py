@@ -51,6 +51,35 @@ def test_same_bytes_as_counting_all_strings(spark, k, at_once, monkeypatch):
     assert sorted(map(str, got)) == sorted(map(str, plain(rows)))
 
 
+def test_hot_names_are_not_gathered(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sb, "HOT", 4, raising=False)
+    monkeypatch.setattr(sb, "MERGED_AT_ONCE", 3, raising=False)
+    real = sb._runs
+
+    def watched(n):
+        inner, folder = real(n), str(tmp_path)
+
+        def run(batches):
+            for batch in batches:
+                for wanted in batch.column(0).to_pylist():
+                    for s in wanted:
+                        open(f"{folder}/{s['name']}_{s['digest']}", "w").close()
+                yield from inner(iter([batch]))
+
+        return run
+
+    monkeypatch.setattr(sb, "_runs", watched)
+    rng = random.Random(9)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = prose(700)
+    rows = [(k, prose(rng.randrange(300, 400)) + passage + prose(rng.randrange(300, 400))) for k in range(60)] + tables()[0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sb.repeated_bytes(docs).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, plain(rows)))
+    gathered = Counter(p.name.split("_")[0] for p in tmp_path.iterdir())
+    assert gathered and max(gathered.values()) <= 4, gathered.most_common(2)  # before: all segments of the passage's ends
+
+
 def test_merge_of_front_coded_runs():
     rng = random.Random(2)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 40))) for _ in range(700)] + [b"a" * 100] * 5
