@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts, decisions, forecast, isolation, metrics, models, timeseries, workload
+from opsloom.operators import accounts, cleaning, decisions, forecast, isolation, metrics, models, timeseries, workload
 from opsloom.plans.catalogue import Tables, query, rounded
 from opsloom.plans.decisions import fte
 from opsloom.plans.timeseries import business, load_global, load_service, next_days
@@ -92,7 +92,8 @@ def _(t: Tables):
 
 @query("train_logistic")
 def _(t: Tables):
-    loans = t.view("v_loans").na.drop().withColumn("income_log", F.log1p("applicant_income")).withColumn(
+    known = cleaning.impute_mode_median(t.view("v_loans"), ["employment"], ["loan_amount", "coapplicant_income"])
+    loans = known.withColumn("income_log", F.log1p("applicant_income")).withColumn(
         "urgent", (F.col("employment") == "1-URGENT").cast("int")).withColumnRenamed("approved", "label")
     _, summary = models.train_logistic(loans, ["income_log", "loan_amount", "coapplicant_income", "urgent"], "label")
     return rounded(summary)

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from opsloom.operators import decisions, forecast, isolation, metrics, models
+from opsloom.plans import learning  # noqa: F401
+from opsloom.plans.catalogue import CATALOGUE, Tables
 from opsloom.sources import tables
 from opsloom.streaming import streams
 
@@ -84,3 +86,19 @@ def test_refresh_rewrites_touched_days_only(spark, tmp_path):
 def test_html_files(spark, tmp_path):
     (tmp_path / "a.html").write_text("<html><script>x()</script><p>Caf&eacute; &amp; <b>thé</b></p></html>", encoding="utf-8")
     assert tables.read_documents(spark, str(tmp_path)).first()["text"] == "Caf&eacute; & thé"
+
+
+def test_logistic_reads_every_loan(spark, monkeypatch):
+    seen, real = [], models.train_logistic
+
+    def watched(rows, features, label):
+        missing = rows.filter(" OR ".join(f"{c} IS NULL" for c in [*features, label])).count()
+        seen.append((rows.count(), missing))
+        return real(rows, features, label, folds=2)
+
+    monkeypatch.setattr(models, "train_logistic", watched)
+    loans = Tables(spark, "/root/testdata/sf0.001")
+    assert 0 <= CATALOGUE["train_logistic"].build(loans).first()["auc_mean"] <= 1
+    everyone = loans.view("v_loans")
+    assert everyone.na.drop().count() < everyone.count()
+    assert seen == [(everyone.count(), 0)]  # before: loans with a null were dropped
