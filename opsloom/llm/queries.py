@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import decontamination, dialogues, jaccard, languages, licences, mixing, quality, substrings, variants
+from opsloom.llm import decontamination, dialogues, jaccard, languages, licences, mixing, quality, secret_scan, substrings, variants
 from opsloom.llm.archives import page_records, read_archives, write_archives
 from opsloom.llm.fingerprints import fingerprint_neighbours
 from opsloom.llm.shared import shared_folder
@@ -77,7 +77,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_groups(_table(spark, sf_dir, "documents"))
 
 
-for _query in (op11_conversation_repair, op12_spelling_variants, op2_suffix_dedup, op5_benchmark_leaks, op8_jaccard_join, op4_language_id, op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(_table(spark, sf_dir, "documents"))
+
+
+for _query in (op11_conversation_repair, op12_spelling_variants, op13_secret_scan, op2_suffix_dedup, op5_benchmark_leaks, op8_jaccard_join, op4_language_id, op10_quality_scores, op1_source_mix, op6_licence_scan, op3_warc_archives, op7_document_fingerprints, op9_token_files):
     QUERIES[_query.__name__] = _query
 
 SQL["op1_source_mix"] = mixing.CHECK_SQL

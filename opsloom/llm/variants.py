@@ -35,8 +35,9 @@ LETTERS = re.compile("[a-zÀ-ÿ]+")
 LEAST_LETTERS, LEAST_COUNT, SPARSE = 7, 2, 31
 PIECE = 1 << 20
 HELD_WORDS = 300_000
-#: words of a box of the coarse tree, and words (about) in the sample that its planes are fitted on
-BOX_WORDS, SAMPLE_WORDS = 65_536, 65_536
+#: most and least words of a box of the coarse tree, between them one box per task; words (about) in the sample
+#: that its planes are fitted on
+BOX_WORDS, LEAST_BOX, SAMPLE_WORDS = 65_536, 4_096, 65_536
 LEAF_WORDS = 12
 BLOCK = 4096
 MOST_COUNT = 63  # larger counts are held at this: the distance can only shrink, so no pair is lost
@@ -237,19 +238,19 @@ def one_edit(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 # the distributed search
 
-def _planes(vocab: DataFrame) -> dict[int, KdTree]:
-    """A coarse tree per length, from the number of words of each length and a bounded sample of words."""
+def _planes(vocab: DataFrame) -> tuple[dict[int, KdTree], int]:
+    """A coarse tree per length, from the number of words of each length and a bounded sample; words of a box."""
     sizes = {r.length: r.n for r in vocab.groupBy(F.char_length("word").alias("length")).agg(F.count("*").alias("n")).collect()}
     every = max(1, sum(sizes.values()) // SAMPLE_WORDS)
     sample = defaultdict(list)
     for row in vocab.filter(F.pmod(F.xxhash64("word"), F.lit(every)) == 0).select("word").collect():  # under 2 * SAMPLE_WORDS by the hash
         sample[len(row.word)].append(row.word.encode("latin-1"))
-    trees = {}
+    trees, most = {}, min(BOX_WORDS, max(LEAST_BOX, sum(sizes.values()) // tasks(vocab.sparkSession)))
     for length, n in sizes.items():
-        words = sample[length] if n > BOX_WORDS else []
+        words = sample[length] if n > most else []
         points = letter_counts(letters(words, length)) if words else np.zeros((0, 90), np.int8)
-        trees[length] = KdTree(points, max(32, len(words) * BOX_WORDS // n), tight=False).without_points()
-    return trees
+        trees[length] = KdTree(points, max(32, len(words) * most // n), tight=False).without_points()
+    return trees, most
 
 
 def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, list[bytes]]]:
@@ -392,9 +393,9 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_words(vocab: DataFrame) -> DataFrame:
     """(word, n_near, best_n, best) for the words of `vocab` (word, n; written or kept) that have a near word:
     how many there are, and the most frequent of them (of equal ones the smallest) with its count."""
-    trees = _planes(vocab)
+    trees, most = _planes(vocab)
     homes = vocab.mapInArrow(_homes(trees), "length long, box long, n long").groupBy("length", "box").agg(F.sum("n").alias("n"))
-    parts = {(r.length, r.box): -(-r.n // BOX_WORDS) for r in homes.filter(F.col("n") > 4 * BOX_WORDS).collect()}
+    parts = {(r.length, r.box): -(-r.n // most) for r in homes.filter(F.col("n") > 4 * most).collect()}
     rows = vocab.mapInArrow(_dealt(trees, parts), "length long, box long, part long, role long, word string, n long")
     placed = rows.repartition(4 * tasks(vocab.sparkSession), "length", "box", "part").sortWithinPartitions("length", "box", "part", "role", "word")
     found = placed.mapInArrow(_searched, "word string, n_near long, best_n long, best string")
