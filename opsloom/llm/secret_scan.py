@@ -2,7 +2,7 @@
 
 A second-order character model of random strings and one of ordinary identifiers are trained from labelled strings:
 either a table of samples, or the documents themselves, where the values that the patterns find are labelled
-random and all other runs of letters, digits and `+/_-` ordinary. Both are counted over all rows. A run of at least
+random and other runs of letters, digits and `+/_-` ordinary. Both are counted over all rows. A run of at least
 16 such characters that no pattern touches becomes a span of kind `random` when its log-likelihood ratio
 reaches a threshold. The models are tables over 67 symbols, whatever the corpus.
 
@@ -41,6 +41,8 @@ THRESHOLD = 12.0
 
 _CODE = np.zeros(256, np.int32)
 _CODE[np.frombuffer(SYMBOLS.encode(), np.uint8)] = np.arange(1, N)
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
 _HEX = np.zeros(256, bool)
 _HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -163,8 +165,8 @@ def _summed(texts: DataFrame, labelled) -> DataFrame:
 def counts_from_documents(docs: DataFrame) -> DataFrame:
     """(label, gram, n): character triples of the values of the patterns (1) and of the other runs (0) of all texts.
 
-    Values, and ordinary runs long enough to be found, count once however often they occur, so a secret that
-    stands in many copies is not learnt as ordinary.
+    Ordinary are runs whose digits stand at their end, as few long random strings do. Values, and ordinary runs
+    long enough to be found, count once however often they occur, so copies do not teach a string.
     """
 
     def labelled(batch):
@@ -174,7 +176,8 @@ def counts_from_documents(docs: DataFrame) -> DataFrame:
             taken = _covered([s[1:] for s in spans], len(data))
             start, end = _runs(symbols, heads, ORDINARY_LEAST)
             sums = np.concatenate([[0], np.cumsum(taken)])
-            free = sums[end] == sums[start]
+            back = np.concatenate([[0], np.cumsum(_DIGIT[data[:-1]] & symbols[1:] & ~_DIGIT[data[1:]])]) if len(data) else np.zeros(1, np.int64)
+            free = (sums[end] == sums[start]) & (back[np.maximum(end - 1, 0)] == back[start])
             yield 0, data, start[free], end[free]
             marks = np.unique([*heads.tolist(), *(s for v in values for s in v if s < len(data))]).astype(np.int64)
             yield 1, data, *_runs(symbols & _covered(values, len(data)), marks, 2)
@@ -208,6 +211,7 @@ def fit(counts: DataFrame) -> np.ndarray:
     n = np.zeros((2, N**3))
     n[np.asarray(rows["label"], dtype=np.int64), np.asarray(rows["gram"], dtype=np.int64)] = np.asarray(rows["n"], dtype=np.int64)
     n = n.reshape(2, N, N, N)
+    n[0] = np.maximum(n[0] - 1, 0)  # a triple that stands in one string only is no evidence for that string
     even = np.full(N, 1 / (N - 1))
     even[0] = 0
     if not n[0].any() or not n[1].any():
