@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import itertools
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -26,45 +25,64 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from opsloom.llm.arrays import flat as utf8
+from opsloom.llm.arrays import flat as utf8, slices
 from opsloom.llm.shared import LOWEST, in_order, make_folder, open_input, open_output, shared_folder, staged
 
 MAGIC = b"OLTOK\x01\x00\x00"
 RUN = 256  # ids between two checkpoints
 BLOCK = 1 << 20  # ids in a block
 END_ID = 0
-MARKS = ".,;:!?*$%&#-()\""
 MOST_PIECES = 400_000
 TOGETHER = 256  # pieces in one call of the tokenizer
-WORD = re.compile(r" ?\S+")
-
-
-class _Pieces(dict):
-    """Number of each piece seen with one prefix; new pieces are queued for the tokenizer.
-
-    ASCII marks that follow a letter or digit always start a piece of their own, so a word with
-    marks behind it is queued as a pair of two known pieces. The apostrophe is left in the word.
+WINDOW = 4 << 20  # bytes of a text that are cut at a time
+_MARK, _ALNUM, _BLANK = (np.zeros(256, bool) for _ in range(3))
+_MARK[np.frombuffer(b".,;:!?*$%&#-()\"", np.uint8)] = True
+_ALNUM[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8)] = True
+_BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+
+
+def _blanks(data: np.ndarray) -> np.ndarray:
+    """Bytes of white space characters, those beyond ASCII included."""
+    out = _BLANK[data]
+    wide = np.flatnonzero(data == 0xC2)
+    wide = wide[wide + 1 < len(data)]
+    wide = wide[np.isin(data[wide + 1], (0x85, 0xA0))]
+    out[wide] = out[wide + 1] = True
+    wide = np.flatnonzero((data >= 0xE1) & (data <= 0xE3))
+    wide = wide[wide + 2 < len(data)]
+    point = (data[wide].astype(np.int32) & 15) << 12 | (data[wide + 1].astype(np.int32) & 63) << 6 | data[wide + 2] & 63
+    wide = wide[(point == 0x1680) | (point >= 0x2000) & (point <= 0x200A) | np.isin(point, (0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+    for k in range(3):
+        out[wide + k] = True
+    return out
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Places inside the bytes of a text, or of several, where the pre-tokenizer starts a new piece in any case.
+
+    These are: before a single blank and before and after a single line feed between two characters
+    that are no white space, and before an ASCII mark (the apostrophe apart) after a letter or digit.
     """
-
-    def __init__(self, prefix: str, encoder: "Encoder"):
-        self.prefix, self.encoder = prefix, encoder
-
-    def __missing__(self, piece: str) -> int:
-        word = piece.rstrip(MARKS)
-        if word != piece and word and word[-1].isalnum():
-            entry = (self[word], self.encoder.known[0][piece[len(word) :]])
-        else:
-            entry = self.prefix + piece
-        number = self[piece] = self.encoder.add(entry)
-        return number
+    if len(data) < 3:
+        return np.zeros(0, np.int64)
+    solid = ~_blanks(data)
+    single = np.zeros(len(data), bool)
+    single[1:-1] = solid[:-2] & solid[2:]
+    line = single & (data == 10)
+    cut = single & (data == 32) | line
+    cut[1:] |= line[:-1]
+    latin = np.zeros(len(data), bool)  # last byte of a letter from U+00C0 to U+00FF
+    latin[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    cut[1:] |= _MARK[data[1:]] & (_ALNUM[data[:-1]] | latin[:-1])
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Token ids of whole texts; repeated pieces are tokenized once.
 
-    The pre-tokenizer of the vocabulary always starts a new piece at a single blank or line feed
-    between two other characters, so a text is cut there and its ids are those of its pieces. Where
-    white space stands side by side, only single blanks away from it are cut.
+    Texts are cut on their bytes where the pre-tokenizer of the vocabulary always starts a new piece, so the ids of a
+    text are those of its pieces. The pieces of many texts are numbered together by an Arrow dictionary,
+    which compares whole pieces; only new distinct ones go to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -79,12 +97,7 @@ class Encoder:
     def reset(self) -> None:
         self.ids = np.array([END_ID], np.uint32)
         self.starts, self.sizes = np.array([0], np.int64), np.array([1], np.int64)
-        self.queue: list[str | tuple[int, int]] = []
-        self.known = [_Pieces(prefix, self) for prefix in ("", " ", "\n")]
-
-    def add(self, entry: str | tuple[int, int]) -> int:
-        self.queue.append(entry)
-        return len(self.starts) + len(self.queue) - 1
+        self.known: dict[bytes, int] = {}
 
     def _take(self, numbers: np.ndarray) -> np.ndarray:
         """Ids of the pieces, one after the other."""
@@ -118,54 +131,66 @@ class Encoder:
                 ids.append(own)
         return np.concatenate(sizes), np.concatenate(ids)
 
-    def _learn(self) -> None:
-        if not self.queue:
-            return
-        first = len(self.starts)
-        kinds = [2 if type(x) is tuple else 0 if WORD.fullmatch(x) else 1 for x in self.queue]
-        words, others, pairs = ([k for k, kind in enumerate(kinds) if kind == wanted] for wanted in range(3))
-        whole = words + others
-        both = (self._words([self.queue[k] for k in words]), self._each([self.queue[k] for k in others]))
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Tokenize new pieces and number them."""
+        texts = [p.decode() for p in pieces]
+        words = [k for k, p in enumerate(texts) if not p.isspace() and len(p.split()) == 1 and p.strip() == p.removeprefix(" ")]
+        others = sorted(set(range(len(texts))) - set(words))
+        both = (self._words([texts[k] for k in words]), self._each([texts[k] for k in others]))
         sizes, ids = (np.concatenate(x) for x in zip(*both))
-        more = np.zeros(len(self.queue), np.int64)
-        self.starts, self.sizes = np.concatenate([self.starts, more]), np.concatenate([self.sizes, more])
-        at = first + np.array(whole, np.int64)
-        self.sizes[at], self.starts[at] = sizes, len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate([self.ids, ids])
-        if pairs:
-            both, at = np.array([self.queue[k] for k in pairs], np.int64), first + np.array(pairs, np.int64)
-            sizes = self.sizes[both].sum(axis=1)
-            self.sizes[at], self.starts[at] = sizes, len(self.ids) + np.cumsum(sizes) - sizes
-            self.ids = np.concatenate([self.ids, self._take(both.reshape(-1))])
-        self.queue.clear()
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, the end id after each text, and the number of ids per text."""
-        if len(self.starts) > MOST_PIECES:
-            self.reset()
-        plain, blank, line = (k.__getitem__ for k in self.known)
-        numbers: list[int] = []
-        ends = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            if not text:
-                pass
-            elif re.search(r"\s\s", text):
-                parts = re.split(r"(?<=\S) (?=\S)", text)
-                numbers.append(plain(parts[0]))
-                numbers.extend(map(blank, parts[1:]))
-            else:
-                first = plain
-                for row in text.split("\n"):
-                    parts = row.split(" ")
-                    numbers.append(first(parts[0]))
-                    numbers.extend(map(blank, parts[1:]))
-                    first = line
-            numbers.append(0)
-            ends[k] = len(numbers)
-        self._learn()
-        chosen = np.array(numbers, np.int64)
-        upto = np.cumsum(self.sizes[chosen])
-        return self._take(chosen), np.diff(np.concatenate([[0], upto[ends - 1]])) if len(texts) else np.zeros(0, np.int64)
+        for number, k in enumerate(words + others, len(self.starts)):
+            self.known[pieces[k]] = number
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Number of each piece; a piece ends where the next one starts."""
+        ends = pa.py_buffer(np.append(starts, len(data)))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, ends, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        new = [p for p in pieces if p not in self.known]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))[np.asarray(coded.indices)]
+
+    def _row(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        """Numbers of the pieces of one long text, window by window; a window ends at a cut."""
+        first, width = 0, WINDOW
+        while first < len(data):
+            part = data[first : first + width]
+            cuts = _cuts(part)
+            if first + width < len(data):
+                cuts = cuts[cuts < len(part) - 8]  # nearer to the edge a cut might depend on what follows
+                if not len(cuts):
+                    width *= 2
+                    continue
+                part = part[: cuts[-1]]
+                cuts = cuts[:-1]
+            yield self._numbers(part, np.concatenate([[0], cuts]))
+            first, width = first + len(part), WINDOW
+
+    def encode(self, texts: pa.Array | list) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, the end id after each text, and the number of ids per text (null: empty)."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for _, data, offsets in slices(column, WINDOW):
+            if len(self.starts) > MOST_PIECES:
+                self.reset()
+            if len(data) > WINDOW:
+                parts = [self._take(part) for part in self._row(data)]
+                ids += [*parts, np.array([END_ID], np.uint32)]
+                sizes.append(np.array([sum(map(len, parts)) + 1]))
+                continue
+            inside = np.zeros(len(data) + 1, bool)
+            inside[_cuts(data)] = True
+            inside[offsets] = True
+            starts = np.flatnonzero(inside[:-1])
+            numbers = self._numbers(data, starts) if len(starts) else np.zeros(0, np.int64)
+            chosen = np.insert(numbers, np.searchsorted(starts, offsets[1:]), 0)
+            upto = np.cumsum(self.sizes[chosen])
+            ids.append(self._take(chosen))
+            sizes.append(np.diff(upto[np.searchsorted(starts, offsets[1:]) + np.arange(len(offsets) - 1)], prepend=0))
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -346,8 +371,8 @@ def _tokenize(folder: str, tokenizer: str):
             _, offsets = utf8(batch.column(2))
             first = 0
             while first < batch.num_rows:
-                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + (1 << 20), side="right")) - 1)
-                ids, sizes = encoder.encode(batch.column(2).slice(first, last - first).to_pylist())
+                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + WINDOW, side="right")) - 1)
+                ids, sizes = encoder.encode(batch.column(2).slice(first, last - first))
                 lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int64()),
                                                       pa.array(ids, kind))
                 writer.write_batch(pa.RecordBatch.from_arrays([batch.column(1).slice(first, last - first), lists], schema=schema))

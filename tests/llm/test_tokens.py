@@ -87,3 +87,29 @@ def test_blocks_and_long_documents(monkeypatch):
     assert [g[1] for g in got] == sizes.tolist() and np.array_equal(np.concatenate([g[3] for g in got]), ids)
     with pytest.raises(ValueError):
         list(tk.read_documents(io.BytesIO(sink.getvalue()[:-5]), True))
+
+
+def test_long_texts_are_cut_window_by_window(monkeypatch):
+    monkeypatch.setattr(tk, "WINDOW", 64)
+    library, encoder, rng = Tokenizer.from_file(PATH), tk.Encoder(PATH), random.Random(8)
+    alphabet = ["a", "B", "7", ".", "'s", " ", " the", "\n", "\t", "é,", " ", "漢", "“q”", "-", "the", "ing", " 12"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(900))) for _ in range(60)] + ["x" * 500, " " * 300 + "y", "a b" * 400]
+    ids, sizes = encoder.encode(texts)
+    for text, part in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert part.tolist() == library.encode(text, add_special_tokens=False).ids + [0], repr(text)
+
+
+def test_a_document_over_several_blocks(monkeypatch):
+    monkeypatch.setattr(tk, "BLOCK", 700)
+    rng, sink = np.random.default_rng(3), io.BytesIO()
+    sizes = np.array([5, 2900, 1, 699, 0, 1400])
+    ids = rng.integers(0, 50, sizes.sum()).astype(np.uint32)
+    writer = tk.Writer(sink, tk.Code(tk.code_lengths(np.bincount(ids, minlength=50), 18)))
+    writer.add(np.arange(6), sizes, ids)
+    sink.seek(0)
+    found = list(tk.read_documents(sink, whole=True))
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+    assert [f[0] for f in found if f[1]] == [0, 1, 2, 3, 5]
+    for place, n, crc, own in found:
+        if n:
+            assert (n, crc) == (sizes[place], zlib.crc32(parts[place].astype("<u4").tobytes())) and own.tolist() == parts[place].tolist()
