@@ -206,4 +206,16 @@ def _(t: Tables):
 SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, r4(distance) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 4""")
 def _(t: Tables):
     base = t.raw("embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return rounded(vectors.vector_topk(base, base, 4, exclude_self=True, block_rows=256))
+    return rounded(vectors.vector_topk(base, base, 4, exclude_self=True))
+
+
+@query("vector_topk_approx", """SELECT count(*) AS n_queries, 4 * count(*) AS n_wanted, true AS recall_reached FROM embeddings WHERE vec_id % 20 = 0""")
+def _(t: Tables):
+    """Recall of the approximate search, measured against the exact one for every twentieth vector as a query."""
+    base = t.raw("embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    queries = base.where("id % 20 = 0")
+    exact = vectors.vector_topk(queries, base, 4, exclude_self=True, block_rows=64)
+    near = vectors.vector_topk_approx(queries, base, 4, exclude_self=True, cell_rows=64)
+    hits = exact.join(near.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+    return hits.agg(F.countDistinct("query_id").alias("n_queries"), F.count(F.lit(1)).alias("n_wanted"),
+                    (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))

@@ -92,6 +92,52 @@ def test_blocked_neighbours_match_brute_force(spark, block_rows):
         assert [r["vec_id"] for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == order
 
 
+def _clustered(n, seed=9):
+    """Vectors around 40 points, a third of them equal."""
+    rng = np.random.default_rng(seed)
+    points = rng.normal(size=(40, 12)) * 4
+    matrix = (points[rng.integers(0, 40, n)] + rng.normal(size=(n, 12)) * 0.3).astype(np.float32)
+    matrix[rng.random(n) < 0.33] = matrix[0]
+    return matrix
+
+
+def _rows(spark, matrix):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], "id long, embedding array<float>")
+
+
+def test_index_prunes_most_pairs_and_stays_exact(spark):
+    matrix = _clustered(3000)
+    rows, pairs = _rows(spark, matrix), spark.sparkContext.accumulator(0)
+    out = vectors.vector_topk(rows, rows, 4, exclude_self=True, block_rows=50, pairs=pairs).collect()
+    assert 0 < pairs.value < len(matrix) ** 2 / 5
+    found = {}
+    for r in out:
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["distance"])
+    exact = np.sqrt(((matrix[::30, None, :].astype(float) - matrix[None].astype(float)) ** 2).sum(-1))
+    for place, q in enumerate(range(0, 3000, 30)):
+        order = sorted((i for i in range(3000) if i != q), key=lambda i: (exact[place, i], i))[:4]
+        assert [found[q][r][0] for r in range(1, 5)] == order
+    assert len(out) == 4 * 3000
+
+
+def test_approximate_neighbours(spark):
+    matrix = _clustered(3000, seed=4)
+    rows, pairs = _rows(spark, matrix), spark.sparkContext.accumulator(0)
+    queries = rows.where("id % 20 = 0")
+    exact = {(r["query_id"], r["vec_id"]) for r in vectors.vector_topk(queries, rows, 4, exclude_self=True, block_rows=50).collect()}
+    near = [(r["query_id"], r["vec_id"]) for r in vectors.vector_topk_approx(queries, rows, 4, exclude_self=True, cell_rows=50, pairs=pairs).collect()]
+    assert len(near) == len(exact) == 600 and len(exact & set(near)) >= 0.9 * len(exact)
+
+
+def test_neighbours_of_special_rows(spark):
+    rows = spark.createDataFrame([(1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [0.0, 1.0]), (3, None), (4, [5.0, 1.0])], "id long, embedding array<float>")
+    found = vectors.vector_topk(rows, rows, 2, exclude_self=True, block_rows=2)
+    assert sorted((r["query_id"], r["vec_id"], r["rank"]) for r in found.collect()) == [
+        (1, 2, 1), (1, 2, 1), (1, 4, 2), (1, 4, 2), (2, 1, 1), (2, 4, 2), (4, 1, 1), (4, 2, 2)]
+    none = rows.limit(0)
+    assert vectors.vector_topk(rows, none, 2).collect() == [] and vectors.vector_topk(none, rows, 2).collect() == []
+
+
 def test_k_larger_than_base(spark):
     rows = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(3)], "id long, embedding array<float>")
     assert vectors.vector_topk(rows, rows, 10).count() == 9
