@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from opsloom.plans.catalogue import Tables, query, rounded
-from opsloom.sources.tables import overwrite_sink, work_folder
+from opsloom.sources.tables import work_folder
 from opsloom.streaming import streams
 
 WATERMARK = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
@@ -56,15 +56,35 @@ _DAILY = "SELECT event_type AS service, CAST(ts AS DATE) AS day, count(*) AS n F
 
 @query("stream_alert_streak", f"""WITH d AS ({_DAILY}), a AS (SELECT service, day, CASE WHEN n > avg(n) OVER (PARTITION BY service) THEN 1 ELSE 0 END AS alert FROM d),
 g AS (SELECT *, sum(1 - alert) OVER (PARTITION BY service ORDER BY day) AS g FROM a)
-SELECT service, day, alert, CAST(sum(alert) OVER (PARTITION BY service, g ORDER BY day) AS BIGINT) AS streak FROM g""")
+SELECT * FROM (SELECT service, day, alert, CAST(sum(alert) OVER (PARTITION BY service, g ORDER BY day) AS BIGINT) AS streak FROM g)
+WHERE day < (SELECT max(day) FROM d) - INTERVAL 1 DAY""")
 def _(t: Tables):
     daily = t.sql(_DAILY)
     mean = daily.groupBy("service").agg(F.avg("n").alias("_m"))
     alerts = daily.join(mean, "service").select("service", "day", (F.col("n") > F.col("_m")).cast("int").alias("alert"))
     folder = work_folder(t.spark, "alerts")
-    overwrite_sink(alerts, folder)
-    stream = t.spark.readStream.schema(alerts.schema).parquet(folder)
-    return streams.run_to_table(streams.alert_streak(stream), "streaks")
+    # odd days come one batch before even ones of the next day: every service is out of order
+    for part in range(2):
+        alerts.where(F.pmod(F.datediff("day", F.lit("1970-01-01")) + part, F.lit(2)) == 0).coalesce(1).write.mode("append").parquet(folder)
+    with streams.ordered_state(t.spark):
+        late = streams.alert_streak(t.spark.readStream.schema(alerts.schema).parquet(folder))
+        return streams.run_to_table(late, "streaks")
+
+
+@query("stream_velocity_late", """WITH seen AS (SELECT max(ts) FILTER (event_id % 7 <> 0) - INTERVAL 10 MINUTE AS first, max(ts) - INTERVAL 10 MINUTE AS final FROM events),
+marked AS (SELECT CAST(ts AS DATE) AS day, user_id, event_id % 7 = 0 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT first FROM seen) AS late FROM events)
+SELECT day, user_id, CAST(count(*) FILTER (NOT late AND day + INTERVAL 1 DAY <= (SELECT final FROM seen)) AS BIGINT) AS n, count(*) FILTER (late) AS late
+FROM marked GROUP BY 1, 2 HAVING n > 0 OR count(*) FILTER (late) > 0""")
+def _(t: Tables):
+    """A seventh of the events comes in a second batch, most of it after its day has been closed."""
+    folder = work_folder(t.spark, "late-events")
+    for part in ("event_id % 7 <> 0", "event_id % 7 = 0"):
+        t.raw("events").where(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = streams.event_stream(t.spark, f"{folder}/in", files_at_once=1)
+    counts, late = streams.velocity_and_late(stream, folder)
+    dropped = late.groupBy("day", "user_id").agg(F.count(F.lit(1)).alias("late"))
+    both = counts.join(dropped, ["day", "user_id"], "full")
+    return both.select("day", "user_id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("late", F.lit(0)).alias("late"))
 
 
 @query("stream_dedupe", "SELECT event_id, user_id, event_type FROM events")

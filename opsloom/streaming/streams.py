@@ -1,35 +1,42 @@
 """Streams over an event table, each with the same result as its batch query on data in time.
 
-Sources are folders of parquet files; checkpoints and outputs live in the shared folder that
-`work_folder` names, so a restarted query goes on where it stopped.
+Sources are folders of parquet files. Checkpoints and outputs live below a folder that the caller names, so a
+restarted query goes on where it stopped; without one, a fresh folder of `work_folder` serves a single run.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from opsloom.sources.tables import work_folder
 
 LATENESS = "10 minutes"
 
 
-def event_stream(spark: SparkSession, folder: str, files: str = "*.parquet", like: str | None = None) -> DataFrame:
-    """Stream of the parquet files of a folder, event time as an instant."""
+def event_stream(spark: SparkSession, folder: str, files: str = "*.parquet", like: str | None = None, files_at_once: int | None = None) -> DataFrame:
+    """Stream of the parquet files of a folder, event time as an instant; `files_at_once` limits a batch."""
     schema = spark.read.parquet(like or f"{folder}/{files}").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
-    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    if files_at_once:
+        raw = raw.option("maxFilesPerTrigger", files_at_once)
+    return raw.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything available, append the final rows to a new table and read it back."""
+def run_to_table(stream: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Process everything available, append the final rows to the table in `folder` and read it back.
+
+    A second run with the same folder goes on after the files that the first one has processed.
+    """
     spark = stream.sparkSession
-    folder = work_folder(spark, name)
+    folder = folder or work_folder(spark, name)
     query = (stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out")
              .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
     query.awaitTermination()
@@ -43,6 +50,40 @@ def velocity(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return daily.select(F.to_date("window.start").alias("day"), "user_id", "n")
 
 
+def velocity_and_late(events: DataFrame, folder: str, lateness: str = LATENESS) -> tuple[DataFrame, DataFrame]:
+    """(velocity, late): events per user and final day, and the rows that came too late to be counted.
+
+    A row is late when the watermark of its batch has reached the end of its day, the rule by which Spark's windows drop
+    rows; here they go to a table of their own. Each batch writes its highest event time, its counts per user and day
+    and its late rows under its own number, so a batch that runs twice, or a run that is started anew with the
+    same folder, leaves the same tables. late: (batch, day, user_id, ts).
+    """
+    spark = events.sparkSession
+    days = F.to_date("ts").alias("day")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        rows = batch.select("ts", "user_id", days)
+        rows.agg(F.max("ts").alias("seen")).write.mode("overwrite").parquet(f"{folder}/seen/batch={number}")
+        before = _watermark(spark, folder, lateness, f"batch < {number}")
+        is_late = F.coalesce(F.date_add("day", 1).cast("timestamp") <= F.lit(before), F.lit(False))
+        marked = rows.withColumn("late", is_late)
+        marked.where("late").drop("late").write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+        counted = marked.where("NOT late").groupBy("day", "user_id").agg(F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+
+    events.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    final = _watermark(spark, folder, lateness, "true")
+    counts = spark.read.option("basePath", f"{folder}/counts").parquet(f"{folder}/counts")
+    done = counts.where(F.date_add("day", 1).cast("timestamp") <= F.lit(final)).groupBy("day", "user_id").agg(F.sum("n").alias("n"))
+    return done, spark.read.option("basePath", f"{folder}/late").parquet(f"{folder}/late").select("batch", "day", "user_id", "ts")
+
+
+def _watermark(spark: SparkSession, folder: str, lateness: str, batches: str) -> dt.datetime | None:
+    """Highest event time of some batches, less the lateness; one number per batch is read."""
+    seen = spark.read.option("basePath", f"{folder}/seen").parquet(f"{folder}/seen").where(batches)
+    return seen.agg((F.max("seen") - F.expr(f"INTERVAL {lateness}")).alias("w")).first()["w"]
+
+
 def load_sliding(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Seven-day totals per event type, moving by one day."""
     moving = events.withWatermark("ts", lateness).groupBy(F.window("ts", "7 days", "1 day"), "event_type").agg(
@@ -69,14 +110,14 @@ def dedupe(events: DataFrame, keys: list[str], lateness: str = "1 hour") -> Data
     return events.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(keys)
 
 
-def daily_refresh(events: DataFrame, name: str) -> DataFrame:
+def daily_refresh(events: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Keep a table of daily figures; each batch rewrites only the days it touches.
 
     A batch is stored under its own number and days are recomputed from the store, so a batch
     that runs twice after a failure gives the same table.
     """
     spark = events.sparkSession
-    folder = work_folder(spark, name)
+    folder = folder or work_folder(spark, name)
 
     def refresh(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("day", F.to_date("ts")).select("day", "event_type", "value")
@@ -95,24 +136,74 @@ def daily_refresh(events: DataFrame, name: str) -> DataFrame:
 
 
 STREAK_ROW = "service string, day date, alert int, streak long"
-STREAK_STATE = "streak long"
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    days = pd.concat(list(batches)).sort_values("day")
-    run = state.get[0] if state.exists else 0
-    runs = []
-    for alert in days["alert"]:
-        run = run + 1 if alert == 1 else 0
-        runs.append(run)
-    state.update((run,))
-    yield pd.DataFrame({"service": key[0], "day": days["day"], "alert": days["alert"], "streak": runs})
-
-
-def alert_streak(daily: DataFrame) -> DataFrame:
-    """Length of the run of alert days per service after each day; the run is the only state.
-
-    The stream has one row per service and day, so a service brings few rows per batch.
+#: a service without any row for so many days starts anew, and its state is freed
+SILENCE_DAYS = 60
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EPOCH = dt.date(1970, 1, 1)
+
+
+def _millis(day: dt.date) -> int:
+    return (day - EPOCH).days * 86_400_000
+
+
+class _Streak(StatefulProcessor):
+    """Days wait, in a map by day, until the watermark has passed them; then they lengthen or end the run in order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "day date", "alert int")
+        self.run = handle.getValueState("run", "streak long, last date")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = self.run.get()[1] if self.run.exists() else None
+        for batch in rows:
+            for day, alert in zip(batch["day"], batch["alert"]):
+                if last is None or day > last:  # an earlier day is final already
+                    self.waiting.updateValue((day,), (int(alert),))
+                    self.handle.registerTimer(_millis(day))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        due = sorted((d[0], a[0]) for d, a in self.waiting.iterator() if _millis(d[0]) < passed)
+        run, last = self.run.get() if self.run.exists() else (0, None)
+        out = []
+        for day, alert in due:
+            if last is not None and (day - last).days > SILENCE_DAYS:
+                run = 0
+            run, last = run + 1 if alert == 1 else 0, day
+            out.append((key[0], day, alert, run))
+            self.waiting.removeKey((day,))
+        if out:
+            self.run.update((run, last))
+            self.handle.registerTimer(_millis(last + dt.timedelta(days=SILENCE_DAYS)))
+            yield pd.DataFrame(out, columns=["service", "day", "alert", "streak"])
+        elif last is not None and _millis(last + dt.timedelta(days=SILENCE_DAYS)) < passed and not list(self.waiting.keys()):
+            self.run.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def alert_streak(daily: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """Length of the run of alert days per service after each day, (service, day, alert, streak).
+
+    Days may come in any order and in any batch up to `lateness` behind the latest one: a day is given out once the
+    watermark has passed it, so the result is that of the batch query; a later day is dropped. The state of a service is its run
+    and the days that wait; it ends after SILENCE_DAYS without a row. Start the stream within `ordered_state`.
     """
-    return daily.select("service", "day", "alert").groupBy("service").applyInPandasWithState(
-        _advance, STREAK_ROW, STREAK_STATE, "append", GroupStateTimeout.NoTimeout)
+    timed = daily.select("service", "day", "alert", F.col("day").cast("timestamp").alias("at")).withWatermark("at", lateness)
+    return timed.groupBy("service").transformWithStateInPandas(
+        statefulProcessor=_Streak(), outputStructType=STREAK_ROW, outputMode="Append", timeMode="EventTime")
+
+
+@contextmanager
+def ordered_state(spark: SparkSession):
+    """State variables and timers need this state store; the session's own choice is put back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
