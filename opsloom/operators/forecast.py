@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsloom.operators import folds
+
 LAGS = (1, 7, 14, 30)
 TAIL_ROWS = 30
 FEATURES = (
@@ -162,42 +164,20 @@ def _lagged(daily: DataFrame) -> DataFrame:
     ).na.drop()
 
 
-def _errors(train: pd.DataFrame, test: pd.DataFrame) -> tuple[float, float]:
-    names = [*[f"lag_{n}" for n in LAGS], "mean_7", "sin_1", "cos_1"]
-    scale = train[names].std(ddof=0).replace(0, 1)
-
-    def matrix(rows: pd.DataFrame) -> np.ndarray:
-        return np.column_stack([np.ones(len(rows)), (rows[names] - train[names].mean()) / scale])
-
-    a, b = matrix(train), train["y"].to_numpy()
-    weights = np.linalg.solve(a.T @ a + 1e-3 * np.eye(a.shape[1]), a.T @ b)
-    return (float(np.abs(b - a @ weights).mean()), float(np.abs(test["y"].to_numpy() - matrix(test) @ weights).mean()))
+LAG_FEATURES = (*[f"lag_{n}" for n in LAGS], "mean_7", "sin_1", "cos_1")
 
 
 def walk_forward_scores(daily: DataFrame, window: int = 120, ahead: int = 14) -> DataFrame:
-    """Error of a fit on each sliding window over the days that follow it; one task per fold."""
-    from opsloom.operators.timeseries import walk_forward_folds
-
-    def judge(fold: pd.DataFrame) -> pd.DataFrame:
-        _, error = _errors(fold[fold["role"] == "train"], fold[fold["role"] == "predict"])
-        return pd.DataFrame({"fold": [int(fold["fold"].iloc[0])], "mae": [error]})
-
-    return walk_forward_folds(_lagged(daily), "day", ["series"], window, ahead).groupBy("fold").applyInPandas(
-        judge, "fold long, mae double")
-
+    """Every day that a sliding window predicts: (day, y, fold, train_rows, score)."""
+    scored = folds.walk_forward(_lagged(daily), "day", ["series"], LAG_FEATURES, "y", window, ahead)
+    return scored.select("day", "y", "fold", "train_rows", "score")
 
-def expanding_curve(daily: DataFrame, sizes: tuple[int, ...] = (30, 60, 90, 120, 150, 200, 250)) -> DataFrame:
-    """Training and validation error of fits on the first N rows, for growing N."""
-    from opsloom.operators.timeseries import chrono_split, expanding_sizes
 
-    rows = chrono_split(_lagged(daily), "day", ["series"])
-    train = expanding_sizes(rows.where(F.col("split") == "train"), "day", sizes)
-    held = rows.where(F.col("split") == "validation").withColumn("size", F.explode(F.array(*[F.lit(s) for s in sizes])))
+def expanding_curve(daily: DataFrame, steps: int = 10) -> DataFrame:
+    """Training and validation error of fits on growing leading parts of the training days."""
+    return folds.growing_fits(_lagged(daily), "day", ["series"], LAG_FEATURES, "y", steps)
 
-    def judge(part: pd.DataFrame) -> pd.DataFrame:
-        known = part[part["split"] == "train"]
-        error, held_error = _errors(known, part[part["split"] == "validation"])
-        return pd.DataFrame({"size": [int(part["size"].iloc[0])], "rows": [len(known)], "train_mae": [error], "validation_mae": [held_error]})
 
-    return train.unionByName(held).groupBy("size").applyInPandas(
-        judge, "size int, rows long, train_mae double, validation_mae double")
+def forward_search(daily: DataFrame, ridges: tuple[float, ...] = (1e-3, 0.1, 1.0, 10.0, 100.0, 1000.0)) -> DataFrame:
+    """Ridge of the lag model, chosen over five forward folds."""
+    return folds.best_ridge(folds.forward_search(_lagged(daily), "day", ["series"], LAG_FEATURES, "y", ridges))

@@ -124,13 +124,6 @@ def time_series_cv(daily: DataFrame, day: str, folds: int = 5) -> DataFrame:
     return rows.withColumn("role", role).where(F.col("role").isNotNull()).drop("_p", "_n")
 
 
-def expanding_sizes(daily: DataFrame, day: str, sizes: Sequence[int]) -> DataFrame:
-    """The first N rows by time for each N, tagged with N."""
-    numbered = daily.withColumn("_p", F.row_number().over(series().orderBy(day)))
-    return numbered.withColumn("size", F.explode(F.array(*[F.lit(s) for s in sizes]))).where(
-        F.col("_p") <= F.col("size")).drop("_p")
-
-
 def calendar_fill(daily: DataFrame, day: str, interpolate: Sequence[str], forward: Sequence[str] = ()) -> DataFrame:
     """Every day from first to last; targets by straight line, regressors by the last known value.
 

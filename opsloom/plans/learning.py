@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts, cleaning, decisions, forecast, isolation, metrics, models, timeseries, workload
+from opsloom.operators import accounts, cleaning, decisions, folds, forecast, isolation, metrics, models, timeseries, workload
 from opsloom.plans.catalogue import Tables, query, rounded
 from opsloom.plans.decisions import fte
 from opsloom.plans.timeseries import business, load_global, load_service, next_days
@@ -189,15 +189,30 @@ def _(t: Tables):
     return rounded(forecast.walk_forward_scores(one_series(t)))
 
 
+TASK_IDS = ["task_id", "load_pos"]
+LATE_FEATURES = ["volume", "complexity_rank", "contract_productivity", "pickup_days", "weekday", "month"]
+
+
+@query("walk_forward_late")
+def _(t: Tables):
+    """Late risk of each task by a linear model of the 20 000 tasks before its fold (the samples hold too few for 50 000)."""
+    rows = workload.calendar_features(workload.ordinal_coefficients(workload.productivity(workload.duration_features(t.view("v_tasks_clean")))), "created")
+    late = workload.late_target(rows).select(*TASK_IDS, "created", *[F.col(c).cast("double").alias(c) for c in LATE_FEATURES], "late").na.drop()
+    scored = folds.walk_forward(late, "created", TASK_IDS, LATE_FEATURES, "late", 20_000, 4_000)
+    return rounded(scored.select(*TASK_IDS, "fold", "train_rows", "late", "score"), 6)
+
+
+@query("forward_search")
+def _(t: Tables):
+    return rounded(forecast.forward_search(one_series(t)), 6)
+
+
 @query("expanding_curve")
 def _(t: Tables):
     return rounded(forecast.expanding_curve(one_series(t)))
 
 
 ANOMALY_FEATURES = ("minutes", "volume", "items_per_hour", "handling_days", "pickup_days", "complexity_rank", "contract_productivity")
-TASK_IDS = ["task_id", "load_pos"]
-
-
 def anomaly_rows(t: Tables):
     rows = workload.ordinal_coefficients(workload.productivity(workload.duration_features(t.view("v_tasks_clean"))))
     rows = rows.select(*TASK_IDS, "service", "created", *[F.col(c).cast("double").alias(c) for c in ANOMALY_FEATURES])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from opsloom.operators import profile, timeseries, workload
+from opsloom.operators import folds, profile, timeseries, workload
 from opsloom.plans import workload_sql as W
 from opsloom.plans.catalogue import Tables, query, rounded
 from opsloom.plans.workload import agent_days
@@ -110,15 +110,15 @@ _FOLDS = """SELECT fold, role, count(*) AS n, CAST(min(p) AS BIGINT) AS first_po
 @query("walk_forward_folds", f"""WITH {BUSINESS}, numbered AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS p FROM business)
 {_FOLDS.format(w=120, a=14, src='business')}""")
 def _(t: Tables):
-    folds = timeseries.walk_forward_folds(business(t), "d", ["n"], 120, 14)
-    return workload.count_by(folds, ["fold", "role"], first_position=F.min("position"), last_position=F.max("position"))
+    parts = timeseries.walk_forward_folds(business(t), "d", ["n"], 120, 14)
+    return workload.count_by(parts, ["fold", "role"], first_position=F.min("position"), last_position=F.max("position"))
 
 
 @query("walk_forward_task_folds", f"""WITH numbered AS (SELECT task_id, row_number() OVER (ORDER BY created, {tie_sql(*TASK_TIES)}) - 1 AS p FROM v_tasks_clean)
-{_FOLDS.format(w=20000, a=4000, src='v_tasks_clean')}""")
+{_FOLDS.format(w=50000, a=10000, src='v_tasks_clean')}""")
 def _(t: Tables):
-    folds = timeseries.walk_forward_folds(t.view("v_tasks_clean"), "created", TASK_TIES, 20000, 4000)
-    return workload.count_by(folds, ["fold", "role"], first_position=F.min("position"), last_position=F.max("position"))
+    parts = timeseries.walk_forward_folds(t.view("v_tasks_clean"), "created", TASK_TIES, 50000, 10000)
+    return workload.count_by(parts, ["fold", "role"], first_position=F.min("position"), last_position=F.max("position"))
 
 
 @query("time_series_cv", f"""WITH {BUSINESS}, r AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS p, count(*) OVER () AS n FROM business),
@@ -126,8 +126,41 @@ x AS (SELECT f.fold, d, CASE WHEN p < n - (n // 6) * (5 - f.fold) THEN 'train' W
   FROM r JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS fold) f ON true)
 SELECT fold, role, count(*) AS n, min(d) AS first_day, max(d) AS last_day FROM x WHERE role IS NOT NULL GROUP BY 1, 2""")
 def _(t: Tables):
-    folds = timeseries.time_series_cv(business(t).select("d"), "d")
-    return workload.count_by(folds, ["fold", "role"], first_day=F.min("d"), last_day=F.max("d"))
+    parts = timeseries.time_series_cv(business(t).select("d"), "d")
+    return workload.count_by(parts, ["fold", "role"], first_day=F.min("d"), last_day=F.max("d"))
+
+
+#: the last value and one regressor without a ridge: the fits that SQL can do itself
+_LAST = "last AS (SELECT d, volume AS y, lag(volume) OVER (ORDER BY d) AS x FROM business), placed AS (SELECT *, row_number() OVER (ORDER BY d) - 1 AS p, count(*) OVER () AS n FROM last WHERE x IS NOT NULL)"
+
+
+def last_value(t: Tables):
+    return timeseries.lags(business(t), "d", ["volume"], steps=[1]).select("d", F.col("volume").alias("y"), F.col("volume_lag_1").alias("x")).na.drop()
+
+
+@query("walk_forward_last_value", f"""WITH {BUSINESS}, {_LAST}, f AS (SELECT unnest(range(CAST(floor((max(n) - 120) / 14) AS BIGINT))) AS fold FROM placed),
+fits AS (SELECT fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS train_rows FROM placed JOIN f ON p >= fold * 14 AND p < fold * 14 + 120 GROUP BY fold)
+SELECT d, fold, train_rows, r4(a + b * x) AS score FROM placed JOIN fits ON p >= fold * 14 + 120 AND p < (fold + 1) * 14 + 120""")
+def _(t: Tables):
+    scored = folds.walk_forward(last_value(t), "d", ["y"], ["x"], "y", 120, 14, ridge=0.0)
+    return rounded(scored.select("d", "fold", "train_rows", "score"))
+
+
+@query("expanding_last_value", f"""WITH {BUSINESS}, {_LAST}, sizes AS (SELECT (CAST(floor(max(n) * 0.70) AS BIGINT) * k) // 10 AS size, max(n) AS n FROM placed, (SELECT unnest(range(1, 11)) AS k) GROUP BY k),
+fits AS (SELECT size, max(s.n) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM placed p JOIN sizes s ON p.p < size GROUP BY size)
+SELECT size, r4(avg(CASE WHEN p < size THEN abs(y - a - b * x) END)) AS train_mae,
+  r4(avg(CASE WHEN p >= floor(f.n * 0.70) AND p < floor(f.n * 0.70) + floor(f.n * 0.15) THEN abs(y - a - b * x) END)) AS validation_mae
+FROM fits f, placed GROUP BY size""")
+def _(t: Tables):
+    return rounded(folds.growing_fits(last_value(t), "d", ["y"], ["x"], "y", ridge=0.0))
+
+
+@query("forward_last_value", f"""WITH {BUSINESS}, {_LAST}, f AS (SELECT k AS fold, max(n) - (max(n) // 6) * (5 - k) AS start, max(n) // 6 AS size FROM placed, (SELECT unnest(range(5)) AS k) GROUP BY k),
+fits AS (SELECT fold, start, size, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS train_rows FROM placed JOIN f ON p < start GROUP BY ALL)
+SELECT 0.0::DOUBLE AS ridge, fold, train_rows, count(*) AS test_rows, r4(avg(abs(y - a - b * x))) AS mae, r4(sqrt(avg((y - a - b * x) * (y - a - b * x)))) AS rmse
+FROM fits JOIN placed ON p >= start AND p < start + size GROUP BY fold, train_rows""")
+def _(t: Tables):
+    return rounded(folds.forward_search(last_value(t), "d", ["y"], ["x"], "y", [0.0]))
 
 
 FILLED = """filled AS (SELECT d, CASE WHEN volume IS NOT NULL THEN volume WHEN ad IS NULL THEN bv ELSE bv + (av - bv) * ((d - bd)::DOUBLE / (ad - bd)) END AS volume, n FROM (
