@@ -3,39 +3,48 @@
 A window without PARTITION BY sorts the whole table in one task, and Spark's exact
 `percentile` keeps every distinct value of a group in one buffer. The functions here
 first reduce the rows to counts per distinct value, cut the value range into pieces of
-about equal size, and combine per-piece totals (a few dozen rows) with a window inside
+about equal size, and combine per-piece totals (a row each) with a window inside
 each piece. A value or a group that holds a third of the rows becomes one counted row
 before the first shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions.reuse import shared
 
-PIECES = 64
+#: distinct values that one task orders, and how many cuts the driver gathers at most
+PIECE_ROWS, MOST_PIECES = 100_000, 10_000
 
 
-def with_piece(df: DataFrame, value: str, pieces: int = PIECES) -> DataFrame:
-    """Add `_piece`, the number of approximate quantile edges below the value.
+def with_piece(df: DataFrame, value: str) -> DataFrame:
+    """Add `_piece`, the number of cuts at or below the value; there are as many pieces as the rows ask for.
 
-    Only the balance of the pieces depends on the approximation, never a result.
+    `df` (kept or cheap: it is counted here) holds about one row per distinct value. The cuts are approximate quantiles, found
+    once, and a row finds its piece by binary search. Only the balance of the pieces depends on the
+    approximation, never a result.
     """
-    steps = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
-    edges = df.agg(F.expr(f"percentile_approx({value}, array({steps}), 1000)").alias("edges"))
-    # coalesce keeps the piece non-null, so no null test on it is pushed below the counts.
-    below = F.filter(F.coalesce("_edges", F.array().cast("array<double>")), lambda e: e < F.col(value))
-    return df.withColumn("_edges", edges.scalar()).withColumn(
-        "_piece", F.coalesce(F.size(below), F.lit(0))).drop("_edges")
+    pieces = min(MOST_PIECES, df.count() // PIECE_ROWS)
+    number = F.col(value).cast("double")
+    shares = [k / pieces for k in range(1, pieces)]
+    cuts = sorted(set(df.agg(F.percentile_approx(number, shares, max(1000, 20 * pieces))).first()[0] or [])) if shares else []
+    cuts = [c for c in cuts if math.isfinite(c)]
+    if not cuts:
+        return df.withColumn("_piece", F.lit(0))
+    search = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_number", outputCol="_piece", handleInvalid="keep")
+    found = search.transform(df.withColumn("_number", number)).drop("_number")
+    return found.withColumn("_piece", F.coalesce(F.col("_piece").cast("int"), F.lit(0)))
 
 
 def exact_percentiles(
     df: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str] = (),
-    weight: str | None = None, pieces: int = PIECES,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles of `value` per group, one column per name.
 
@@ -49,9 +58,9 @@ def exact_percentiles(
         known = known.where(F.col(key).isNotNull())
     counts = known.groupBy(*by, F.col(value).alias("_v")).agg(
         (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
-    counts = with_piece(shared(counts), "_v", pieces)
+    counts = with_piece(shared(counts), "_v")
 
-    # At most `pieces` rows per group reach this window.
+    # One row per piece and group reaches this window.
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     totals = (
         counts.groupBy(*by, "_piece").agg(F.sum("_n").alias("_m"))
@@ -97,14 +106,14 @@ def exact_percentiles(
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: Sequence[str], descending: bool = False, pieces: int = PIECES,
+    df: DataFrame, order: str, sums: Sequence[str], descending: bool = False,
 ) -> DataFrame:
     """Add `cum_<column>`: totals of all rows up to and including this one in `order`.
 
-    `df` holds one row per distinct `order` value. The sort is split into pieces, so no
-    task sees more than about 1/pieces of the rows.
+    `df` holds one row per distinct `order` value, a number. Its range is cut into pieces of about PIECE_ROWS rows; each
+    is added up on its own, from the total of the pieces before it.
     """
-    cut = with_piece(shared(df), order, pieces)
+    cut = with_piece(shared(df), order)
 
     def direction(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
@@ -116,7 +125,7 @@ def running_totals(
         (F.sum(f"_t_{c}").over(over_pieces) - F.col(f"_t_{c}")).alias(f"_o_{c}") for c in sums
     ])
     inside = Window.partitionBy("_piece").orderBy(direction(order))
-    out = cut.join(F.broadcast(offsets), "_piece")  # at most `pieces` rows
+    out = cut.join(F.broadcast(offsets), "_piece")  # at most MOST_PIECES rows
     return out.select(*df.columns, *[
         (F.col(f"_o_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}") for c in sums
     ])

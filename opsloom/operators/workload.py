@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opsloom.functions import scalars as S
 from opsloom.functions.reuse import shared
-from opsloom.operators.ordering import exact_percentiles
+from opsloom.operators.ordering import exact_percentiles, running_totals
 
 MAX_ABSENCE_DAYS = 90
 ALERT_SHARE = 0.75
@@ -228,15 +228,26 @@ def feature_detail(tasks: DataFrame, agents: DataFrame, absences: DataFrame) ->
 def active_events_per_day(days: DataFrame, events: DataFrame, day: str = "day") -> DataFrame:
     """FTE lost and volume announced on each day by the events that cover it; zero without any.
 
-    An event is expanded to its days and merged per day before it meets the calendar, so the
-    interval test becomes an equality join of two tables with one row per day.
+    A sweep line: an event adds its impact on its first day and takes it back on the day after its last, so it costs two
+    rows however long it lasts. The changes are summed per day in decimals (nothing is left over when an event
+    ends) and added up in the order of days; the interval test becomes an equality join with one row per day.
     """
-    spans = events.select(
-        "kind", "fte_impact", "extra_volume",
-        F.explode(F.sequence("event_date", S.event_end("event_date", "duration_days"))).alias(day))
-    impact = spans.groupBy(day).agg(
-        F.sum(F.when(F.col("kind") == "fte_incident", F.col("fte_impact"))).alias("fte_lost"),
-        F.sum(F.when(F.col("kind") == "announcement", F.col("extra_volume"))).alias("announced_volume"))
+    exact = "decimal(38,12)"
+    lost = F.when(F.col("kind") == "fte_incident", F.col("fte_impact")).cast(exact)
+    announced = F.when(F.col("kind") == "announcement", F.col("extra_volume")).cast(exact)
+
+    def change(at: Column, sign: int) -> Column:
+        return F.struct(at.alias("_day"), (lost * sign).cast(exact).alias("_lost"), (announced * sign).cast(exact).alias("_announced"))
+
+    after = F.date_add(S.event_end("event_date", "duration_days"), 1)
+    changes = events.where("event_date IS NOT NULL").select(F.explode(F.array(change(F.col("event_date"), 1), change(after, -1))).alias("c")).select("c.*")
+    nothing = F.lit(0).cast(exact)
+    asked = days.select(F.col(day).alias("_day"), nothing.alias("_lost"), nothing.alias("_announced")).where("_day IS NOT NULL").distinct()
+    per_day = changes.unionByName(asked).groupBy(F.unix_date("_day").alias("_at")).agg(
+        *[F.coalesce(F.sum(c), nothing).cast(exact).alias(c) for c in ("_lost", "_announced")])
+    swept = running_totals(per_day, "_at", ["_lost", "_announced"])
+    impact = swept.select(F.date_from_unix_date("_at").alias(day), F.col("cum__lost").cast("double").alias("fte_lost"),
+                          F.col("cum__announced").cast("double").alias("announced_volume"))
     return days.join(impact, day, "left").fillna(0.0, ["fte_lost", "announced_volume"])
 
 

@@ -1,8 +1,10 @@
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opsloom.operators import flights, metrics, timeseries, workload
+from opsloom.operators import flights, metrics, ordering, timeseries, workload
 from opsloom.operators.ordering import exact_percentiles, global_position, running_totals, tie_key
 
 
@@ -128,3 +130,38 @@ def test_next_business_days_skip_weekends(spark):
     last = spark.sql("SELECT DATE '2024-03-01' AS d")  # a Friday
     days = [r["day"] for r in timeseries.next_business_days(last, 30).orderBy("horizon").collect()]
     assert len(days) == 30 and all(d.weekday() < 5 for d in days) and days[0].isoformat() == "2024-03-04"
+
+
+def test_pieces_follow_the_data_and_stay_even(spark):
+    rows = spark.range(2_000_000).select((F.pow(F.col("id") / 1e6, 3)).alias("v"), F.lit(1).alias("n"))  # far from uniform
+    sizes = sorted(r["count"] for r in ordering.with_piece(rows, "v").groupBy("_piece").count().collect())
+    assert len(sizes) == 20 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    assert ordering.with_piece(rows.limit(50), "v").select("_piece").distinct().count() == 1
+
+
+def test_totals_and_percentiles_over_several_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "PIECE_ROWS", 7)
+    values = [None, float("nan"), float("-inf"), *[float(k * k % 101) for k in range(300)]]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    known = sorted(v for v in values if v is not None and v == v)
+    found = exact_percentiles(rows, "v", {"a": 0.37, "b": 0.9}).first()
+    assert found["a"] == pytest.approx(np.percentile(known, 37)) and found["b"] == pytest.approx(np.percentile(known, 90))
+    counts = rows.where("v >= 0 AND NOT isnan(v)").groupBy("v").count()
+    upto = {r["v"]: r["cum_count"] for r in running_totals(counts, "v", ["count"]).collect()}
+    assert upto == {v: sum(k <= v for k in known[1:]) for v in set(known[1:])}
+
+
+def test_a_long_event_costs_two_rows(spark, monkeypatch):
+    from opsloom.operators import workload
+
+    seen, real = [], workload.running_totals
+    monkeypatch.setattr(workload, "running_totals", lambda df, *rest: seen.append(df.count()) or real(df, *rest))
+    first = dt.date(2000, 1, 1)
+    events = spark.createDataFrame([
+        ("fte_incident", 0.1, None, first, 30_000), ("fte_incident", 0.2, None, first + dt.timedelta(days=5), 3), ("announcement", None, 7.5, first, 1),
+        ("announcement", None, 1.0, None, 4), ("fte_incident", None, None, first, 2)], "kind string, fte_impact double, extra_volume double, event_date date, duration_days int")
+    offsets = [-1, 0, 1, 5, 7, 8, 29_999, 30_000]
+    days = spark.createDataFrame([(first + dt.timedelta(days=k),) for k in offsets] + [(None,)], "day date")
+    out = {r["day"] and (r["day"] - first).days: (r["fte_lost"], r["announced_volume"]) for r in workload.active_events_per_day(days, events).collect()}
+    assert out == {-1: (0, 0), 0: (0.1, 7.5), 1: (0.1, 0), 5: (0.3, 0), 7: (0.3, 0), 8: (0.1, 0), 29_999: (0.1, 0), 30_000: (0, 0), None: (0, 0)}
+    assert seen[0] <= len(offsets) + 6
