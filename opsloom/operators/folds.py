@@ -205,3 +205,14 @@ def best_ridge(searched: DataFrame) -> DataFrame:
     rows = sorted(means.collect(), key=lambda r: (r["mae"], r["ridge"]))  # one row per grid point
     return searched.sparkSession.createDataFrame(
         [(r["ridge"], r["mae"], r["rmse"], r["folds"], k) for k, r in enumerate(rows, 1)], "ridge double, mae double, rmse double, folds long, rank int")
+
+
+def fits_by(rows: DataFrame, group: str, features: Sequence[str], target: str, ridge: float) -> DataFrame:
+    """(group, train_rows, weights) of one fit per value of `group`; weights apply to the regressors as they are, intercept first."""
+    shifts, wide = _shifts(rows, features), len(features) + 2
+    fits = _fits(piece_sums(rows, {"_k": F.xxhash64(group)}, features, target, shifts), "_k", wide, ridge)
+    plain = F.get("weights", F.lit(0))
+    for i, m in enumerate(shifts.tolist(), 1):
+        plain = plain - F.get("weights", F.lit(i)) * F.lit(m)
+    named = rows.select(group, F.xxhash64(group).alias("_k")).distinct().join(fits, "_k")
+    return named.select(group, "train_rows", F.concat(F.array(plain), F.slice("weights", 2, len(features))).alias("weights"))

@@ -10,7 +10,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.operators import folds
@@ -105,53 +105,80 @@ def forecast_recursive(daily: DataFrame, fitted: DataFrame, ahead: DataFrame) ->
 
 
 LOAD_FEATURES = (
-    "intercept", *[f"volume_lag_{n}" for n in LAGS], *[f"fte_lag_{n}" for n in LAGS], "volume_mean_7", "load_mean_7", "fte",
+    *[f"volume_lag_{n}" for n in LAGS], *[f"fte_lag_{n}" for n in LAGS], "volume_mean_7", "load_mean_7", "fte",
     "sin_1", "cos_1", "is_month_end", "is_quarter_end",
 )
-LOAD_SCHEMA = "series string, horizon int, day date, fte double, volume double, load_forecast double, load_adjusted double"
+MEAN_ROWS, LEAST_FTE = 7, 0.1
 
 
-def _load_row(calendar: dict, volume: list, fte: list, load: list, fte_now: float) -> list[float]:
-    step = dict(calendar) | {"fte": fte_now, "volume_mean_7": float(np.mean(volume[-7:])), "load_mean_7": float(np.nanmean(load[-7:]))}
-    for n in LAGS:
-        step[f"volume_lag_{n}"], step[f"fte_lag_{n}"] = volume[-n], fte[-n]
-    return [step[f] for f in LOAD_FEATURES]
+def _load_design(rows: DataFrame) -> DataFrame:
+    """Regressors of a day's load: calendar, staff of the day, and lags and means of the rows before it."""
+    w = Window.partitionBy("series").orderBy("day")
+    before = w.rowsBetween(-MEAN_ROWS, -1)
+    angle = F.weekday("day") * (2 * math.pi / 7)
+    return rows.withColumns(
+        {f"{c}_lag_{n}": F.lag(F.col(c).cast("double"), n).over(w) for c in ("volume", "fte") for n in LAGS}
+        | {"volume_mean_7": F.avg("volume").over(before), "load_mean_7": F.avg("load").over(before), "sin_1": F.sin(angle), "cos_1": F.cos(angle),
+           "is_month_end": (F.day("day") >= 25).cast("double"), "is_quarter_end": F.month("day").isin(3, 6, 9, 12).cast("double")})
 
 
-def _load_steps(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("day").reset_index(drop=True)
-    past, ahead = rows[rows["horizon"] == 0], rows[rows["horizon"] > 0].reset_index(drop=True)
-    volume, fte, load = (past[c].astype(float).tolist() for c in ("volume", "fte", "load"))
-    calendar = pd.DataFrame(_calendar(rows["day"]))
-    x, y = [], []
-    for i in range(max(LAGS), len(past)):
-        if np.isfinite(load[i]):
-            x.append(_load_row(calendar.iloc[i].to_dict(), volume[:i], fte[:i], load[:i], fte[i]))
-            y.append(load[i])
-    a = np.asarray(x)
-    weights = np.linalg.solve(a.T @ a + 1e-6 * len(a) * np.eye(a.shape[1]), a.T @ np.asarray(y))
-    made, adjusted = [], []
-    for i, day in ahead.iterrows():
-        known = calendar.iloc[len(past) + i].to_dict()
-        made.append(float(np.dot(weights, _load_row(known, volume, fte, load, day["fte"]))))
-        reduced = max(day["fte"] - day["fte_lost"], 0.1) if day["fte_lost"] else day["fte"]
-        adjusted.append(float(np.dot(weights, _load_row(known, volume, fte, load, reduced))))
-        # The chain goes on with the model's own values, never with the adjusted ones.
-        volume, fte, load = volume + [day["volume"]], fte + [day["fte"]], load + [made[-1]]
-    return pd.DataFrame({"series": rows["series"].iloc[0], "horizon": ahead["horizon"], "day": ahead["day"], "fte": ahead["fte"],
-                         "volume": ahead["volume"], "load_forecast": made, "load_adjusted": adjusted})
-
-
-def load_forecast_recursive(daily: DataFrame, ahead: DataFrame) -> DataFrame:
-    """Load of the next days, each step extending the lags with its own output.
-
-    `daily` has (series, day, volume, fte, load); `ahead` has (series, horizon, day, volume, fte, fte_lost).
+def train_load_model(daily: DataFrame, ridge: float = 1.0) -> DataFrame:
+    """(series, train_rows, weights): a linear load model per series, the intercept first.
+
+    `daily` has (series, day, volume, fte, load). The sums of all series are added up together; no series is gathered.
+    """
+    rows = _load_design(daily).select("series", F.xxhash64("series").alias("_k"), *[F.col(f).cast("double").alias(f) for f in LOAD_FEATURES], "load").na.drop()
+    return folds.fits_by(rows, "series", LOAD_FEATURES, "load", ridge)
+
+
+def load_forecast_recursive(daily: DataFrame, ahead: DataFrame, fitted: DataFrame) -> DataFrame:
+    """Load of the next days of every series, by a model trained beforehand.
+
+    `ahead` has (series, horizon, day, volume, fte, fte_lost). Volume and staff of the days ahead are known, so all terms but one are
+    columns; the mean of the last seven loads is the state that the days are folded over, and it is fed with the
+    forecasts themselves, never with the adjusted ones. Only the last 30 rows of a series are read. A series without so many
+    rows has no forecast (null).
     """
-    past = daily.select("series", "day", F.lit(0).alias("horizon"), F.col("volume").cast("double").alias("volume"), "fte", "load",
-                        F.lit(0.0).alias("fte_lost"))
+    back = Window.partitionBy("series").orderBy(F.desc("day"))
+    tail = daily.withColumn("_r", F.row_number().over(back)).where(F.col("_r") <= TAIL_ROWS)
+    w = Window.partitionBy("series").orderBy("day")
+
+    def filled(c: str) -> Column:
+        """A missing value is the last known one, else the next one."""
+        before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+        return F.coalesce(F.last(F.col(c).cast("double"), ignorenulls=True).over(before), F.first(F.col(c).cast("double"), ignorenulls=True).over(after)).alias(c)
+
+    known = tail.select("series", "day", F.lit(0).alias("horizon"), filled("volume"), filled("fte"), "load", F.lit(0.0).alias("fte_lost"))
     future = ahead.select("series", "day", "horizon", F.col("volume").cast("double").alias("volume"), "fte",
-                          F.lit(None).cast("double").alias("load"), "fte_lost")
-    return past.unionByName(future).groupBy("series").applyInPandas(_load_steps, LOAD_SCHEMA)
+                          F.lit(None).cast("double").alias("load"), F.coalesce("fte_lost", F.lit(0.0)).alias("fte_lost"))
+    rows = _load_design(known.unionByName(future)).join(fitted.select("series", "weights"), "series")
+    at = {f: F.get("weights", F.lit(i)) for i, f in enumerate(LOAD_FEATURES, 1)}
+    base = F.get("weights", F.lit(0))
+    for f in LOAD_FEATURES:
+        base = base + (at[f] * F.col(f) if f != "load_mean_7" else F.lit(0.0))
+    reduced = F.when(F.col("fte_lost") > 0, F.greatest(F.col("fte") - F.col("fte_lost"), F.lit(LEAST_FTE))).otherwise(F.col("fte"))
+    step = F.struct("horizon", "day", "fte", "volume", base.alias("base"), (base + at["fte"] * (reduced - F.col("fte"))).alias("adjusted"))
+    gathered = rows.groupBy("series").agg(  # the tail and the days ahead of one series
+        F.first(at["load_mean_7"]).alias("weight"),
+        F.sort_array(F.collect_list(F.when(F.col("horizon") == 0, F.struct("day", "load")))).alias("tail"),
+        F.sort_array(F.collect_list(F.when(F.col("horizon") > 0, step))).alias("steps"))
+
+    def last(loads: Column) -> Column:
+        return F.slice(loads, F.greatest(F.size(loads) - (MEAN_ROWS - 1), F.lit(1)), F.lit(MEAN_ROWS))
+
+    def mean(loads: Column) -> Column:
+        some = F.filter(loads, lambda x: x.isNotNull())
+        return F.coalesce(F.try_divide(F.aggregate(some, F.lit(0.0), lambda t, x: t + x), F.size(some).cast("double")), F.lit(0.0))
+
+    def advance(state: Column, x: Column) -> Column:
+        carried = F.col("weight") * mean(state["loads"])
+        made = F.struct(x["horizon"].alias("horizon"), x["day"].alias("day"), x["fte"].alias("fte"), x["volume"].alias("volume"),
+                        (x["base"] + carried).alias("load_forecast"), (x["adjusted"] + carried).alias("load_adjusted"))
+        return F.struct(last(F.concat(state["loads"], F.array(x["base"] + carried))).alias("loads"), F.concat(state["out"], F.array(made)).alias("out"))
+
+    start = F.struct(last(F.transform("tail", lambda x: x["load"])).alias("loads"),
+                     F.array().cast("array<struct<horizon:int,day:date,fte:double,volume:double,load_forecast:double,load_adjusted:double>>").alias("out"))
+    return gathered.select("series", F.explode(F.aggregate("steps", start, advance, lambda s: s["out"])).alias("x")).select("series", "x.*")
 
 
 def _lagged(daily: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, HashingTF, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizerModel, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from opsloom.functions import words
 from opsloom.functions.reuse import shared
 from opsloom.operators import metrics
+from opsloom.operators.registry import Registry
 
 SEED = 42
 PARALLEL_FITS = 4
@@ -28,11 +29,13 @@ PARALLEL_FITS = 4
 
 @dataclass(frozen=True)
 class Trained:
-    """A chosen model, the grid results (one row per candidate) and the name of the choice."""
+    """A chosen model, the grid results (one row per candidate), the name of the choice, and what a refit needs."""
 
     model: PipelineModel
     results: DataFrame
     chosen: str
+    pipeline: Pipeline
+    weighted: Callable[[DataFrame, str], DataFrame] = lambda rows, label: rows
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -72,7 +75,7 @@ def _mae(scored: DataFrame, label: str) -> float:
     return float(scored.agg(F.avg(F.abs(F.col("prediction") - F.col(label)))).first()[0])
 
 
-def _search(candidates: Mapping[str, Pipeline], train: DataFrame, held: DataFrame, judge, highest: bool, value: str) -> Trained:
+def _search(candidates: Mapping[str, Pipeline], train: DataFrame, held: DataFrame, judge, highest: bool, value: str, **kept) -> Trained:
     """Fit the candidates side by side, judge them on the held rows; the first of equals wins."""
     spark = train.sparkSession
 
@@ -86,7 +89,7 @@ def _search(candidates: Mapping[str, Pipeline], train: DataFrame, held: DataFram
     rows = [(i, name, result) for i, (result, name, _) in enumerate(judged)]
     results = spark.createDataFrame(rows, f"candidate int, settings string, {value} double").withColumn(
         "chosen", (F.col("settings") == best[1]).cast("int"))
-    return Trained(best[2], results, best[1])
+    return Trained(best[2], results, best[1], candidates[best[1]], **kept)
 
 
 def train_rf_classifier(train: DataFrame, held: DataFrame, features: Sequence[str], label: str,
@@ -94,7 +97,7 @@ def train_rf_classifier(train: DataFrame, held: DataFrame, features: Sequence[st
     """Class-balanced forest; depth by average precision on the held rows."""
     grid = {f"depth={d}": Pipeline(stages=[assembler(features), RandomForestClassifier(
         labelCol=label, weightCol="weight", numTrees=trees, maxDepth=d, seed=SEED)]) for d in depths}
-    return _search(grid, shared(balanced(train, label)), shared(held), lambda s: _average_precision(s, label), True, "average_precision")
+    return _search(grid, shared(balanced(train, label)), shared(held), lambda s: _average_precision(s, label), True, "average_precision", weighted=balanced)
 
 
 def train_boosted_classifier(train: DataFrame, held: DataFrame, features: Sequence[str], label: str,
@@ -103,7 +106,7 @@ def train_boosted_classifier(train: DataFrame, held: DataFrame, features: Sequen
     pipelines = {f"depth={d}, rate={r}": Pipeline(stages=[assembler(features), GBTClassifier(
         labelCol=label, weightCol="weight", maxDepth=d, stepSize=r, maxIter=rounds, seed=SEED)]) for d, r in grid}
     return _search(pipelines, shared(positive_weighted(train, label)), shared(held),
-                   lambda s: _average_precision(s, label), True, "average_precision")
+                   lambda s: _average_precision(s, label), True, "average_precision", weighted=positive_weighted)
 
 
 def train_tree_classifier(train: DataFrame, held: DataFrame, features: Sequence[str], label: str,
@@ -111,7 +114,7 @@ def train_tree_classifier(train: DataFrame, held: DataFrame, features: Sequence[
     """Single balanced tree; depth and leaf size by accuracy."""
     grid = {f"depth={d}, leaf={m}": Pipeline(stages=[assembler(features), DecisionTreeClassifier(
         labelCol=label, weightCol="weight", maxDepth=d, minInstancesPerNode=m, seed=SEED)]) for d in depths for m in leaves}
-    return _search(grid, shared(balanced(train, label)), shared(held), lambda s: _accuracy(s, label), True, "accuracy")
+    return _search(grid, shared(balanced(train, label)), shared(held), lambda s: _accuracy(s, label), True, "accuracy", weighted=balanced)
 
 
 def train_logistic(train: DataFrame, features: Sequence[str], label: str, folds: int = 5, c: float = 1.0):
@@ -203,30 +206,119 @@ def backtest_table(model: PipelineModel, rows: DataFrame, day: str, actual: str,
     return scored.select(day, "split", F.col(actual).alias("actual"), F.col("prediction").alias("predicted"), F.lit(name).alias("model"))
 
 
-def promote_if_better(registry: DataFrame, challenger: DataFrame, minimum: float) -> DataFrame:
-    """Registry with the challenger appended if it passes the gate and beats the champion.
+def promote_if_better(registry: Registry, challengers: Iterable[tuple[str, int, float]], minimum: float) -> DataFrame:
+    """Judge challengers (model, version, value) one after the other; the outcome of each, in order."""
+    rows = [(k, model, version, float(value), registry.promote(model, version, float(value), minimum, registry.champion()))
+            for k, (model, version, value) in enumerate(challengers)]
+    return registry.spark.createDataFrame(rows, "place int, model string, version int, value double, outcome string")
 
-    Both have (model, version, value); the champion is the highest value so far.
+
+def report(model: PipelineModel, rows: DataFrame, label: str, threshold: float) -> DataFrame:
+    """One row: average precision, ROC AUC, and precision, recall and accuracy of the rule score >= threshold."""
+    scored = shared(probability(model.transform(rows)).select("score", F.col(label).cast("int").alias("_y")))
+    hit = F.col("score") >= threshold
+    rule = scored.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_y").alias("positives"),
+        F.coalesce(F.try_divide(F.sum(F.when(hit, F.col("_y"))).cast("double"), F.count_if(hit).cast("double")), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(F.sum(F.when(hit, F.col("_y"))).cast("double"), F.sum("_y").cast("double")), F.lit(0.0)).alias("recall"),
+        F.avg((hit.cast("int") == F.col("_y")).cast("double")).alias("accuracy"))
+    curve = metrics.average_precision(metrics.pr_curve(scored, "score", "_y"))
+    return rule.withColumn("average_precision", curve.scalar()).withColumn("roc_auc", metrics.roc_auc(scored, "score", "_y").scalar()).withColumn(
+        "threshold", F.lit(float(threshold)))
+
+
+@dataclass(frozen=True)
+class Settled:
+    """The family that won on the held rows, refitted on training and held rows, its threshold and its report on the test rows."""
+
+    family: str
+    settings: str
+    model: PipelineModel
+    threshold: float
+    card: DataFrame
+
+
+def settle(families: Mapping[str, Callable[[DataFrame, DataFrame], Trained]], train: DataFrame, held: DataFrame, test: DataFrame,
+           label: str, recall: float = 0.80) -> Settled:
+    """Choose between model families, set the threshold, refit, and judge once on rows that took no part in any choice.
+
+    A family is a function of (training rows, held rows) that searches its own grid, judged by its best average precision; the first
+    of equals wins. The threshold reaches `recall` on the held rows before the final fit. The final fit uses the chosen
+    settings on both parts; its report is of the test rows alone.
     """
-    champion = registry.agg(F.coalesce(F.max("value"), F.lit(float("-inf"))))
-    passed = challenger.where((F.col("value") >= minimum) & (F.col("value") > champion.scalar()))
-    return registry.unionByName(passed)
+    found = {name: search(train, held) for name, search in families.items()}
+    value = {name: _average_precision(one.model.transform(held), label) for name, one in found.items()}
+    family = max(value, key=lambda name: value[name])
+    chosen = found[family]
+    scored = probability(chosen.model.transform(held))
+    threshold = float(metrics.threshold_by_recall(metrics.pr_curve(scored, "score", label), recall).first()[0])
+    both = shared(chosen.weighted(train.unionByName(held), label))
+    final = chosen.pipeline.fit(both)
+    card = report(final, test, label, threshold).select(F.lit(family).alias("family"), F.lit(chosen.chosen).alias("settings"), "*")
+    return Settled(family, chosen.chosen, final, threshold, card)
 
 
-def train_intent_router(messages: DataFrame, text: str, label: str, buckets: int = 1 << 14, parallelism: int = 4) -> PipelineModel:
-    """TF-IDF of words and word pairs into a fixed number of buckets, one linear SVC per class."""
-    grams = shared(messages.select(label, words.ngrams(words.message_tokens(text)).alias("grams")))
-    return Pipeline(stages=[
-        HashingTF(inputCol="grams", outputCol="tf", numFeatures=buckets), IDF(inputCol="tf", outputCol="features"),
-        StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"),
-        OneVsRest(classifier=LinearSVC(maxIter=10, regParam=0.01), labelCol="label", parallelism=parallelism),
-    ]).fit(grams)
+#: terms of the router's vocabulary: each is one number per class in the model on the driver
+MOST_TERMS = 1 << 22
+
 
+@dataclass(frozen=True)
+class Router:
+    """The fitted pipeline, the names of its classes in order, and a row per split: rows, labelled rows, accuracy."""
 
-def route_messages(model: PipelineModel, messages: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    model: PipelineModel
+    intents: list[str]
+    report: DataFrame
+
+
+def message_terms(messages: DataFrame, text: str) -> Column:
+    return words.ngrams(words.message_tokens(F.coalesce(F.col(text), F.lit(""))))
+
+
+def intent_vocabulary(grams: DataFrame, least: int = 2) -> list[str]:
+    """Every term that stands in at least `least` texts, in code-point order: exact, and the same in every run.
+
+    Texts are counted by a grouped aggregation. The terms come to the driver, as the model has a
+    weight for each of them there anyway; more than MOST_TERMS are an error, not a cut.
+    """
+    terms = grams.select(F.explode(F.array_distinct("grams")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    kept = shared(terms.where(F.col("n") >= least).select("term"))
+    if kept.count() > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms stand in {least} texts or more: raise `least`")
+    return sorted(r["term"] for r in kept.collect())
+
+
+def train_intent_router(messages: DataFrame, text: str, label: str, ids: Sequence[str], least: int = 2, rounds: int = 15,
+                        parallelism: int = 4) -> Router:
+    """TF-IDF of words and word pairs over an exact vocabulary, one linear SVC per class, judged on rows held out.
+
+    Labelled rows are split per class (0.70 training, 0.15 validation, 0.15 test); vocabulary, document frequencies and weights come from
+    the training rows only. Rows without a label take no part and are counted in the report.
+    """
+    rows = messages.select(*ids, label, message_terms(messages, text).alias("grams"))
+    split = shared(metrics.stratified_split(rows.where(F.col(label).isNotNull()), label, ids))
+    train = split.where(F.col("split") == "train")
+    terms = intent_vocabulary(train, least)
+    model = Pipeline(stages=[
+        CountVectorizerModel.from_vocabulary(terms or [""], inputCol="grams", outputCol="tf"), IDF(inputCol="tf", outputCol="features"),
+        StringIndexer(inputCol=label, outputCol="_intent", stringOrderType="alphabetAsc"),
+        OneVsRest(classifier=LinearSVC(maxIter=rounds, regParam=0.01), labelCol="_intent", parallelism=parallelism),
+    ]).fit(train)
+    router = Router(model, list(model.stages[2].labels), split)
+    judged = _routed(router, split.select(F.col(label).alias("_label"), "split", "grams"), ["_label", "split"])
+    known = judged.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("_label") == F.col("intent")).cast("double")).alias("accuracy"))
+    without = rows.where(F.col(label).isNull()).agg(F.lit("unlabelled").alias("split"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("accuracy"))
+    return Router(model, router.intents, known.unionByName(without))
+
+
+def _routed(router: Router, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(x) for x in router.intents])
+    stages = router.model.stages
+    scored = PipelineModel(stages=[stages[0], stages[1], stages[3]]).transform(rows)
+    return scored.select(*keep, F.element_at(names, (F.col("prediction") + 1).cast("int")).alias("intent"))
+
+
+def route_messages(router: Router, messages: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """Intent of each message with its display name."""
-    names = F.array(*[F.lit(x) for x in model.stages[2].labels])
-    rows = messages.select(*keep, words.ngrams(words.message_tokens(text)).alias("grams"))
-    scored = PipelineModel(stages=[model.stages[0], model.stages[1], model.stages[3]]).transform(rows)
-    intent = F.element_at(names, (F.col("prediction") + 1).cast("int"))
-    return scored.select(*keep, intent.alias("intent"), F.initcap(F.replace(intent, F.lit("_"), F.lit(" "))).alias("intent_name"))
+    rows = messages.select(*keep, message_terms(messages, text).alias("grams"))
+    return _routed(router, rows, keep).withColumn("intent_name", F.initcap(F.replace("intent", F.lit("_"), F.lit(" "))))

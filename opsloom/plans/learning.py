@@ -2,15 +2,16 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts, cleaning, decisions, folds, forecast, isolation, metrics, models, timeseries, workload
+from opsloom.operators import accounts, cleaning, folds, forecast, isolation, metrics, models, timeseries, workload
+from opsloom.operators.registry import Registry
+from opsloom.plans import workload_sql as W
 from opsloom.plans.catalogue import Tables, query, rounded
-from opsloom.plans.decisions import fte
-from opsloom.plans.timeseries import business, load_global, load_service, next_days
-from opsloom.plans.timeseries import forecast as volume_forecast
+from opsloom.plans.timeseries import NEXT_DAYS, business, load_global, load_service, next_days, tie_sql
 from opsloom.plans.workload import detail
-from opsloom.sources.tables import staged
+from opsloom.sources.tables import staged, work_folder
 
 
 def account_split(t: Tables):
@@ -50,15 +51,49 @@ def _(t: Tables):
     return models.score_accounts(model, everyone, threshold, "1", F.lit(dt.datetime(2024, 1, 1)))
 
 
-@query("promote_if_better")
-def _(t: Tables):
+GATE = 0.08
+_CHALLENGERS = ("l_tax", "l_discount", "l_quantity", "l_extendedprice")
+_AP = " UNION ALL ".join(f"""SELECT {k} AS place, (SELECT sum(pos * (cp / cn)) / sum(pos) FROM (SELECT pos, sum(pos) OVER w AS cp, sum(n) OVER w AS cn FROM (
+  SELECT {c} AS s, sum(label) AS pos, count(*) AS n FROM labelled GROUP BY 1) WINDOW w AS (ORDER BY s DESC))) AS value""" for k, c in enumerate(_CHALLENGERS))
+
+
+def challengers(t: Tables):
+    """Average precision of four single columns as scores, one version each."""
     rows = t.raw("lineitem").withColumn("label", (F.col("l_quantity") + F.col("l_discount") * 200 > 45).cast("int"))
-    judged = None
-    for version, column in enumerate(("l_tax", "l_discount", "l_quantity"), start=1):
-        one = metrics.average_precision(metrics.pr_curve(rows, column, "label")).select(
-            F.lit("risk").alias("model"), F.lit(version).alias("version"), F.col("average_precision").alias("value"))
-        judged = one if judged is None else models.promote_if_better(judged, one, 0.08)
-    return rounded(judged)
+    values = [metrics.average_precision(metrics.pr_curve(rows, c, "label")).first()[0] for c in _CHALLENGERS]
+    return [("risk", k, v) for k, v in enumerate(values, 1)]
+
+
+@query("promote_if_better", f"""WITH RECURSIVE labelled AS (SELECT *, CASE WHEN l_quantity + l_discount * 200 > 45 THEN 1 ELSE 0 END AS label FROM lineitem),
+judged AS ({_AP}),
+run AS (SELECT -1 AS place, NULL::DOUBLE AS value, CAST(NULL AS VARCHAR) AS outcome, NULL::DOUBLE AS champion
+  UNION ALL SELECT j.place, j.value, CASE WHEN j.value < {GATE} THEN 'below the minimum' WHEN j.value <= r.champion THEN 'not better' ELSE 'promoted' END,
+    CASE WHEN j.value >= {GATE} AND (r.champion IS NULL OR j.value > r.champion) THEN j.value ELSE r.champion END
+  FROM run r JOIN judged j ON j.place = r.place + 1)
+SELECT place, 'risk' AS model, place + 1 AS version, r4(value) AS value, outcome FROM run WHERE place >= 0""")
+def _(t: Tables):
+    store = Registry(t.spark, work_folder(t.spark, "registry"))
+    return rounded(models.promote_if_better(store, challengers(t), GATE))
+
+
+@query("registry_history", f"""WITH labelled AS (SELECT *, CASE WHEN l_quantity + l_discount * 200 > 45 THEN 1 ELSE 0 END AS label FROM lineitem),
+judged AS (SELECT * FROM ({_AP}) WHERE value >= {GATE}),
+best AS (SELECT *, max(value) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far FROM judged)
+SELECT CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS generation, 'risk' AS model, place + 1 AS version, r4(value) AS value FROM best WHERE so_far IS NULL OR value > so_far""")
+def _(t: Tables):
+    store = Registry(t.spark, work_folder(t.spark, "registry"))
+    models.promote_if_better(store, challengers(t), GATE)
+    return rounded(store.history().drop("path"))
+
+
+@query("account_model_card")
+def _(t: Tables):
+    """Forest or boosted trees, refitted and judged on the test accounts (fewer trees and rounds than in the grids above)."""
+    parts = account_split(t)
+    families = {
+        "forest": lambda a, b: models.train_rf_classifier(a, b, accounts.FEATURES, "label", (8,), 100),
+        "boosted": lambda a, b: models.train_boosted_classifier(a, b, accounts.FEATURES, "label", ((4, 0.1),), 30)}
+    return rounded(models.settle(families, parts["train"], parts["validation"], parts["test"], "label").card)
 
 
 RISK_FEATURES = ("complexity_rank", "contract_productivity", "agent_day_tasks", "agent_day_fte", "service_fte", "service_load",
@@ -169,15 +204,42 @@ def _(t: Tables):
     return rounded(forecast.forecast_recursive(rows, forecast.train_seasonal_arx(rows), ahead))
 
 
+SHIFT_DAYS = 2403  # brings the sample's events into the days ahead
+
+
+def service_outlook(t: Tables):
+    """(daily, ahead): the load of each service so far, and its next 30 business days at its recent volume and staff."""
+    daily = staged(load_service(t).select(F.col("service").alias("series"), "day", "volume", "fte", "load"), "service-days")
+    back = Window.partitionBy("series").orderBy(F.desc("day"))
+    recent = daily.withColumn("_r", F.row_number().over(back)).where("_r <= 30").groupBy("series").agg(
+        F.avg("volume").alias("volume"), F.avg("fte").alias("fte"))
+    names = recent.agg(F.collect_set("series").alias("s"))  # one entry per service
+    events = t.view("v_events_mgr").withColumn("event_date", F.date_add("event_date", SHIFT_DAYS))
+    days = workload.active_events_per_day(next_days(t), events).withColumn("series", F.explode(names.scalar()))
+    return daily, staged(days.join(recent, "series").select("series", "horizon", "day", "volume", "fte", "fte_lost"), "service-ahead")
+
+
 @query("load_forecast_recursive")
 def _(t: Tables):
-    daily = staged(load_global(t), "daily")
-    made = volume_forecast(t, daily)
-    staffed = decisions.event_adjusted_forecast(
-        made, workload.active_events_per_day(made.select("day"), t.view("v_events_mgr").withColumn(
-            "event_date", F.date_add("event_date", 2403))), fte(t, made.select("day")))
-    ahead = staffed.select(F.lit("ALL").alias("series"), "day", "horizon", "volume", "fte", (F.col("fte") - F.col("fte_adjusted")).alias("fte_lost"))
-    return rounded(forecast.load_forecast_recursive(daily.select(F.lit("ALL").alias("series"), "day", "volume", "fte", "load"), ahead))
+    daily, ahead = service_outlook(t)
+    return rounded(forecast.load_forecast_recursive(daily, ahead, forecast.train_load_model(daily)))
+
+
+@query("load_forecast_rows", f"""WITH {W.LOADS}, {NEXT_DAYS}, recent AS (SELECT service, avg(volume) AS volume, avg(fte) AS fte FROM (
+  SELECT *, row_number() OVER (PARTITION BY service ORDER BY day DESC) AS r FROM load_service) WHERE r <= 30 GROUP BY service)
+SELECT service AS series, horizon, n.day, r4(volume) AS volume, r4(fte) AS fte, true AS known, true AS same_chain, true AS adjusted_only_by_events
+FROM recent, next_days n""")
+def _(t: Tables):
+    """What holds of every forecast: its days, its inputs, and that no event reaches the chain of forecasts."""
+    daily, ahead = service_outlook(t)
+    fitted = staged(forecast.train_load_model(daily), "load-model")
+    with_events = forecast.load_forecast_recursive(daily, ahead, fitted)
+    without = forecast.load_forecast_recursive(daily, ahead.withColumn("fte_lost", F.lit(0.0)), fitted).select(
+        "series", "horizon", F.col("load_forecast").alias("calm"), F.col("load_adjusted").alias("calm_adjusted"))
+    both = with_events.join(without, ["series", "horizon"]).join(ahead.select("series", "horizon", "fte_lost"), ["series", "horizon"])
+    return rounded(both.select(
+        "series", "horizon", "day", "volume", "fte", F.col("load_forecast").isNotNull().alias("known"), (F.col("load_forecast") == F.col("calm")).alias("same_chain"),
+        ((F.col("calm_adjusted") == F.col("calm")) & ((F.col("fte_lost") > 0) | (F.col("load_adjusted") == F.col("load_forecast")))).alias("adjusted_only_by_events")))
 
 
 def one_series(t: Tables):
@@ -250,13 +312,16 @@ def _(t: Tables):
 
 
 def router(t: Tables):
-    return models.train_intent_router(t.raw("documents"), "text", "lang")
+    return models.train_intent_router(t.raw("documents"), "text", "lang", ["doc_id"])
 
 
-@query("train_intent_router")
+@query("train_intent_router", f"""WITH split AS (SELECT CASE WHEN lang IS NULL THEN 'unlabelled' WHEN rn <= floor(n * 0.15::DOUBLE + 0.5) THEN 'test'
+  WHEN rn <= floor(n * 0.15::DOUBLE + 0.5) * 2 THEN 'validation' ELSE 'train' END AS split FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY {tie_sql("42", "doc_id")}) AS rn, count(*) OVER (PARTITION BY lang) AS n FROM documents))
+SELECT s AS split, (SELECT count(*) FROM split WHERE split = s) AS n, s <> 'unlabelled' AS accurate FROM (SELECT unnest(['train', 'validation', 'test', 'unlabelled']) AS s)""")
 def _(t: Tables):
-    routed = models.route_messages(router(t), t.raw("documents"), "text", ["doc_id", "lang"])
-    return rounded(routed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("lang") == F.col("intent")).cast("double")).alias("accuracy")))
+    found = router(t).report
+    return found.select("split", "n", F.coalesce(F.col("accuracy") >= 0.95, F.lit(False)).alias("accurate"))
 
 
 @query("route_messages")
