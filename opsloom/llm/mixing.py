@@ -30,10 +30,10 @@ BLOCKS, INNER = 512, 1 << 15  # positions: 24 bits
 WORD = r"[^ \t-\r]+"
 
 # One hypergeometric draw: how many of `x.q` blocks go left if `a.n` of `a.m` blocks do. Weights of
-# the outcomes around the most likely one follow from each other; 10 standard deviations and 10
+# the outcomes around the most likely one follow from each other; 8.5 standard deviations and 10
 # outcomes to both sides hold all that doubles can tell from 0.
 _MODE = "floor((a.n + 1D) * (x.q + 1D) / (a.m + 2D))"
-_WIDE = "(ceil(10D * sqrt(a.n * (x.q / a.m) * ((a.m - x.q) / a.m) * ((a.m - a.n) / greatest(1D, a.m - 1D)))) + 10)"
+_WIDE = "(ceil(8.5D * sqrt(a.n * (x.q / a.m) * ((a.m - x.q) / a.m) * ((a.m - a.n) / greatest(1D, a.m - 1D)))) + 10)"
 _OUTCOMES = (
     f"sequence(greatest(0L, a.n - (a.m - x.q), CAST({_MODE} - {_WIDE} AS BIGINT)), "
     f"least(a.n, x.q, CAST({_MODE} + {_WIDE} AS BIGINT)))"
@@ -50,29 +50,48 @@ _DRAW = (
     f"z -> {_PICK.replace('aggregate(o', 'aggregate(z.o').replace('o[0]', 'z.o[0]').replace('array_max(o)', 'array_max(z.o)').replace('whole', 'z.whole')})[0])"
 )
 LEFT = (
-    "aggregate(quota, named_struct('m', aggregate(quota, 0L, (t, y) -> t + y.q), 'n', aggregate(quota, 0L, (t, y) -> t + y.q) DIV 2, "
+    "aggregate(quota, named_struct('m', aggregate(quota, 0L, (t, y) -> t + y.q), 'n', n, "
     "'out', CAST(array() AS ARRAY<BIGINT>)), (a, x) -> transform(array(" + _DRAW + "), d -> named_struct("
     "'m', a.m - x.q, 'n', a.n - d, 'out', concat(a.out, array(d))))[0], a -> a.out)"
 )
+GROUP = 256  # sources in one row of the tree, on average
+
+
+def _drawn(rows: DataFrame, seed: int, depth: int, kind: str) -> DataFrame:
+    """Add `left`: how many blocks of each entry (key, q) of `quota` are among the `n` that go left."""
+    chance = F.transform("quota", lambda y: F.struct(
+        y["key"].alias("key"), y["q"].alias("q"),
+        (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(depth), F.col("node"), y["key"], F.lit(kind)), 11) / float(2**53)).alias("u")))
+    return rows.withColumn("quota", chance).withColumn("left", F.expr(LEFT))
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(key, q) to (key, shard, q): the splitting tree. One row of all sources is split level by level."""
+    """(key, q) to (key, shard, q): the splitting tree, level by level.
+
+    A row holds about GROUP sources of one node. Where there are more, the blocks that go left are first split over
+    the groups by their totals, then inside each group: two draws in a row are one draw of the whole.
+    """
     if shards < 1 or shards & (shards - 1):
         raise ValueError("shards must be a power of two")
-    tree = quotas.agg(F.sort_array(F.collect_list(F.struct("key", F.col("q").cast("long").alias("q")))).alias("quota")).select(
-        F.lit(0).cast("long").alias("node"), "quota")
+    groups = max(1, -(-quotas.count() // GROUP))
+    tree = quotas.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups))).groupBy("part").agg(
+        F.sort_array(F.collect_list(F.struct("key", F.col("q").cast("long").alias("q")))).alias("quota")).select(
+        F.lit(0).cast("long").alias("node"), "part", "quota")
+    blocks = F.aggregate("quota", F.lit(0).cast("long"), lambda t, y: t + y["q"])
     for depth in range(shards.bit_length() - 1):
-        chance = F.transform("quota", lambda y: F.struct(
-            y["key"].alias("key"), y["q"].alias("q"),
-            (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(depth), F.col("node"), y["key"]), 11) / float(2**53)).alias("u")))
-        tree = (
-            tree.select("node", chance.alias("quota")).select("node", "quota", F.expr(LEFT).alias("left"))
-            .select(F.explode(F.expr(
-                "array(named_struct('node', node * 2, 'quota', zip_with(quota, left, (y, d) -> named_struct('key', y.key, 'q', d))), "
-                "named_struct('node', node * 2 + 1, 'quota', zip_with(quota, left, (y, d) -> named_struct('key', y.key, 'q', y.q - d))))"
-            )).alias("c")).select("c.*")
-        )
+        if groups == 1:
+            tree = tree.withColumn("n", F.floor(blocks / 2))
+        else:
+            tree = staged(tree, "tree")  # read twice below
+            totals = tree.select("node", F.struct(F.col("part").alias("key"), blocks.alias("q")).alias("e")).groupBy("node").agg(
+                F.sort_array(F.collect_list("e")).alias("quota")).withColumn("n", F.floor(blocks / 2))
+            shared = _drawn(totals, seed, depth, "group").select("node", F.explode(F.arrays_zip(
+                F.transform("quota", lambda y: y["key"]).alias("part"), F.col("left").alias("n"))).alias("c")).select("node", "c.part", "c.n")
+            tree = tree.join(shared, ["node", "part"])
+        sides = F.expr(
+            "array(named_struct('node', node * 2, 'quota', zip_with(quota, left, (y, d) -> named_struct('key', y.key, 'q', d))), "
+            "named_struct('node', node * 2 + 1, 'quota', zip_with(quota, left, (y, d) -> named_struct('key', y.key, 'q', y.q - d))))")
+        tree = _drawn(tree, seed, depth, "source").select("part", F.explode(sides).alias("c")).select("c.node", "part", "c.quota")
     return tree.select(F.col("node").alias("shard"), F.explode("quota").alias("c")).select("c.key", "shard", "c.q")
 
 
@@ -111,22 +130,31 @@ def mixture(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
             shards: int = 64, seed: int = 17) -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, position, source_size, target, taken, shards.
 
-    `shards` lists the output shard of every copy that the mix takes; `taken` is size times copies.
+    `shards` lists the output shard of every copy: those that the tree drew blocks of the document for. `taken` is size times
+    their number.
     """
     sized = staged(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "source", _key().alias("key"), _position(seed).alias("position"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
     plan = source_plan(sized, weights, share, most, shards, seed)
-    copies = F.col("passes") + F.when(F.col("position") <= F.col("cut"), 1).otherwise(0)
-    turns = F.when(copies > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1),
-                                           lambda p: p * BLOCKS + F.floor(F.col("position") / INNER)))
     # the plan has one row per source and was just written: Spark broadcasts it if its size allows,
     # else adaptive execution splits the hot source
-    joined = sized.join(plan.drop("source"), "key").withColumn("turns", F.coalesce(turns, F.array().cast("array<long>")))
+    joined = sized.join(plan.drop("source"), "key").withColumn("shards", F.transform(_turns("position", "passes", "cut", "ends"), lambda t: _shard("ends", t)))
     return joined.select(
         "doc_id", "source", "size", "position", F.col("words").alias("source_size"), "target",
-        (F.col("size") * F.size("turns")).alias("taken"),
-        F.transform("turns", lambda t: F.size(F.filter("ends", lambda e: e <= t))).alias("shards"))
+        (F.col("size") * F.size("shards")).alias("taken"), F.size("shards").cast("long").alias("copies"), "shards")
+
+
+def _turns(position: str, passes: str, cut: str, ends: str) -> Column:
+    """Places of a document's blocks in the order of its source, as far as the leaves of the tree go; of the last, cut pass only up
+    to the cut."""
+    drawn, block = F.array_max(ends), F.floor(F.col(position) / INNER)
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col(passes)), lambda p: p * BLOCKS + block)
+    return F.filter(every, lambda t: (t < drawn) & ((F.floor(t / BLOCKS) < F.col(passes)) | (F.col(position) <= F.col(cut))))
+
+
+def _shard(ends: str, turn: Column) -> Column:
+    return F.size(F.filter(ends, lambda e: e <= turn))
 
 
 def source_plan(sized: DataFrame, weights: Sequence[int], share: float, most: float, shards: int, seed: int) -> DataFrame:
@@ -158,7 +186,8 @@ def source_plan(sized: DataFrame, weights: Sequence[int], share: float, most: fl
     plan = staged(
         aims.join(opened.select("key", "block"), "key", "left").join(inside, "key", "left")
         # no block passes the rest only where the source has no words: nothing is taken then
-        .withColumn("cut", F.coalesce(F.col("inside"), F.col("block") * INNER - 1, F.lit(-1)).cast("long"))
+        .withColumn("cut", F.when(F.col("rest") > 0, F.coalesce(F.col("inside"), F.col("block") * INNER - 1)).otherwise(-1).cast("long"))
+        .withColumn("cut", F.coalesce("cut", F.lit(-1)))
         .withColumn("q", F.col("passes") * BLOCKS + F.ceil((F.col("cut") + 1) / INNER)), "source-plan")
     upto_shard = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     ends = (
@@ -181,22 +210,24 @@ def mixed_rows(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float
     plan = source_plan(staged(sized, "sizes"), weights, share, most, shards, seed)
     rows = docs.withColumns({"_mix_key": _key(), "_mix_position": _position(seed)})
     plan = plan.select(F.col("key").alias("_mix_key"), F.col("passes").alias("_mix_passes"), F.col("cut").alias("_mix_cut"), F.col("ends").alias("_mix_ends"))
-    copies = F.col("_mix_passes") + F.when(F.col("_mix_position") <= F.col("_mix_cut"), 1).otherwise(0)
-    turns = F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1))
+    turns = _turns("_mix_position", "_mix_passes", "_mix_cut", "_mix_ends")
     out = rows.join(plan, "_mix_key").withColumn("_mix_turn", F.explode(turns))
-    block = F.col("_mix_turn") * BLOCKS + F.floor(F.col("_mix_position") / INNER)
     out = out.withColumns({
-        "mix_shard": F.size(F.filter("_mix_ends", lambda e: e <= block)),
+        "mix_shard": _shard("_mix_ends", F.col("_mix_turn")),
         "mix_order": F.xxhash64(F.lit(seed), "_mix_position", "_mix_turn", F.col("doc_id")),
     })
     return out.drop("_mix_key", "_mix_position", "_mix_passes", "_mix_cut", "_mix_ends", "_mix_turn")
 
 
-def write_shards(mixed: DataFrame, folder: str, shards: int = 64, pieces: int = 1) -> None:
-    """Write the mix, one folder per shard, rows shuffled within each of its `pieces` files."""
+def shuffled(mixed: DataFrame, shards: int = 64, pieces: int = 1) -> DataFrame:
+    """The mix dealt by shard, rows in random order within each of a shard's `pieces`."""
     piece = F.pmod(F.col("mix_order"), F.lit(pieces))
-    (mixed.repartition(shards * pieces, "mix_shard", piece).sortWithinPartitions("mix_shard", "mix_order")
-     .write.partitionBy("mix_shard").parquet(folder))
+    return mixed.repartition(shards * pieces, "mix_shard", piece).sortWithinPartitions("mix_shard", "mix_order")
+
+
+def write_shards(mixed: DataFrame, folder: str, shards: int = 64, pieces: int = 1) -> None:
+    """Write the mix, one folder per shard."""
+    shuffled(mixed, shards, pieces).write.partitionBy("mix_shard").parquet(folder)
 
 
 CHECK_SQL = """
@@ -223,6 +254,8 @@ places AS (
   FROM sized GROUP BY k, position)
 SELECT s.doc_id, s.size, a.words AS source_size, a.target,
   CAST(s.size * (a.passes + CASE WHEN a.target - a.passes * a.words > 0 AND p.upto - p.here / 2.0::DOUBLE <= a.target - a.passes * a.words
-    THEN 1 ELSE 0 END) AS BIGINT) AS taken
+    THEN 1 ELSE 0 END) AS BIGINT) AS taken,
+  CAST(a.passes + CASE WHEN a.target - a.passes * a.words > 0 AND p.upto - p.here / 2.0::DOUBLE <= a.target - a.passes * a.words
+    THEN 1 ELSE 0 END AS BIGINT) AS copies
 FROM sized s JOIN parted a ON s.k = a.k JOIN places p ON s.k = p.k AND s.position = p.position
 """

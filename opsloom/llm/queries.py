@@ -23,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixture(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0, shards=64)
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,3 +95,50 @@ def test_reruns_agree(spark):
     docs = spark.createDataFrame([(*r,) for r in ROWS[0]], "doc_id long, text string, source string")
     one, two = (mx.mixture(docs.repartition(n)).select("doc_id", "taken", F.col("shards").cast("string")).collect() for n in (2, 5))
     assert sorted(map(str, one)) == sorted(map(str, two))
+
+
+def test_many_sources_are_split_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(mx, "GROUP", 4)
+    quotas = spark.createDataFrame([(f"s{k}", (k * 37) % 90) for k in range(40)], "key string, q long")
+    rows = mx.split_quotas(quotas, 8, 3).collect()
+    total, by_shard, by_key = sum((k * 37) % 90 for k in range(40)), Counter(), Counter()
+    for r in rows:
+        assert r.q >= 0
+        by_shard[r.shard] += r.q
+        by_key[r.key] += r.q
+    assert by_key == Counter({f"s{k}": (k * 37) % 90 for k in range(40)}) and sum(by_shard.values()) == total
+    assert max(by_shard.values()) - min(by_shard.values()) <= 1
+    assert rows and sorted(map(tuple, rows)) == sorted(map(tuple, mx.split_quotas(quotas, 8, 3).collect()))
+    counts = [sum(r.q for r in mx.split_quotas(spark.createDataFrame([("a", 30), *[(f"b{k}", 10) for k in range(9)]], "key string, q long"), 2, seed).collect()
+                  if r.key == "a" and r.shard == 0) for seed in range(40)]
+    assert 12 < sum(counts) / 40 < 18 and len(set(counts)) > 4  # 15 on average
+
+
+def test_twenty_thousand_sources(spark):
+    import time
+
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "concat('host', id % 20000) AS source", "repeat('w ', CAST(1 + id % 7 AS int)) AS text")
+    start = time.time()
+    mix = mx.mixture(docs, shards=16).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"), F.max(F.col("taken") / F.col("size")).alias("most"),
+                                          F.sum(F.when(F.col("taken") != F.col("size") * F.size("shards"), 1).otherwise(0)).alias("off"),
+                                          F.min(F.array_min("shards")).alias("low"), F.max(F.array_max("shards")).alias("high")).first()
+    assert time.time() - start < 120  # four partitions here
+    assert mix.off == 0 and mix.most <= 2 and abs(mix.t / mix.s - 1.5) < 0.1 and (mix.low, mix.high) == (0, 15)
+
+
+def test_leaves_of_the_tree_decide_what_is_taken(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "'one two three' AS text")
+    whole = mx.mixture(docs, shards=4).agg(F.sum("taken")).first()[0]
+    real = mx.split_quotas
+    monkeypatch.setattr(mx, "split_quotas", lambda q, n, seed: real(q, n, seed).withColumn("q", F.when(F.col("shard") == 3, 0).otherwise(F.col("q"))))
+    assert mx.mixture(docs, shards=4).agg(F.sum("taken")).first()[0] < 0.9 * whole
+
+
+def test_shards_are_shuffled(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "'one two three' AS text")
+    mixed = mx.mixed_rows(docs, shards=4)
+    found = mx.shuffled(mixed, 4).withColumn("part", F.spark_partition_id()).collect()
+    assert len({(r.part, r.mix_shard) for r in found}) == len({r.mix_shard for r in found}) == 4
+    for shard in range(4):
+        ids = [r.doc_id for r in found if r.mix_shard == shard]
+        assert ids != sorted(ids)
