@@ -3,9 +3,8 @@
 A document is a bag of passages of 64 words. Every passage is described by byte and word statistics,
 encoded by one hidden layer, weighted by gated attention (tanh times sigmoid), and the weighted sum of
 the encodings gives the score. Only documents carry labels; the attention learns which passages
-decide. The model is fitted with numpy on a bounded sample of labelled documents (`most_documents`,
-chosen by a hash of the id, at most `most_passages` evenly spread passages of each); every document
-is scored with all its passages.
+decide. The model is fitted with numpy on a sample of labelled documents whose number and size are bounded
+(`most_documents`, `most_bytes`; chosen by a hash of the id); every document is fitted and scored with all its passages.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from opsloom.llm.arrays import slices, words
 
@@ -91,7 +91,11 @@ class Model:
     weights: dict[str, np.ndarray]
 
     def score(self, features: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return _forward(self.weights, (features - self.centre) / self.scale, starts)[0]
+        return _forward(self.weights, self.scaled(features), starts)[0]
+
+    def scaled(self, features: np.ndarray) -> np.ndarray:
+        """The one transformation that fitting and scoring share."""
+        return np.clip((features - self.centre) / self.scale, -8, 8)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -120,7 +124,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 40, batch: int
         return Model(np.zeros(FEATURES), np.ones(FEATURES), {k: v * 0 for k, v in w.items()} | {"out0": np.array(np.log(prior / (1 - prior)))})
     everything = np.concatenate(bags).astype(np.float64)
     centre, scale = everything.mean(0), everything.std(0) + 1e-3
-    bags = [np.clip((b - centre) / scale, -8, 8) for b in bags]
+    bags = [Model(centre, scale, w).scaled(b) for b in bags]
     first, second, step = {k: v * 0 for k, v in w.items()}, {k: v * 0 for k, v in w.items()}, 0
     for epoch in range(epochs):
         order = rng.permutation(len(bags))
@@ -150,44 +154,55 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 40, batch: int
     return Model(centre, scale, w)
 
 
-def _bags(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, data, offsets in slices(batch.column(1)):
-                features, starts = passages(data, offsets)
-                for k in range(len(offsets) - 1):
-                    own = features[starts[k] : starts[k + 1]]
-                    if len(own) > most:
-                        own = own[np.linspace(0, len(own) - 1, most).astype(int)]
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column(0).slice(first + k, 1), pa.array([own.astype("<f4").tobytes()], pa.binary())], ["label", "bag"])
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (label, text): the features of all passages of each text."""
+    for batch in batches:
+        for first, data, offsets in slices(batch.column(1)):
+            features, starts = passages(data, offsets)
+            for k in range(len(offsets) - 1):
+                own = features[starts[k] : starts[k + 1]]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(first + k, 1), pa.array([own.astype("<f4").tobytes()], pa.binary())], ["label", "bag"])
 
-    return run
 
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_documents: int = 5000, most_bytes: int = 64 << 20) -> Model:
+    """Fit on labelled documents whose crc32(id as text) mod 5 is not 0.
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_documents: int = 5000, most_passages: int = 32) -> Model:
-    """Fit on labelled documents whose crc32(id as text) mod 5 is not 0; a bounded sample reaches the driver."""
+    The sample that reaches the driver is bounded by two parameters: documents in hash order, up to `most_documents`
+    and as long as their texts together hold at most `most_bytes`; each of them whole, with all passages. Labels
+    other than 0 and 1, null ids and ids with both labels do not count, repeated labels count once; of
+    documents with one id the smallest text counts. Ties cannot change the sample: equal hashes are ordered by id.
+    """
+    order = F.xxhash64("doc_id")
     chosen = (
         labels.filter((F.crc32(F.col("doc_id").cast("string")) % 5 != 0) & F.col(label).isin(0, 1))
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most_documents)
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.min(F.col(label).cast("int")).alias("label"), F.max(F.col(label).cast("int")).alias("other"))
+        .filter("label = other").select("doc_id", "label").orderBy(order, "doc_id").limit(most_documents)
     )
     # at most `most_documents` rows of two numbers: safe to broadcast
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
-    rows = texts.mapInArrow(_bags(most_passages), "label int, bag binary").collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    upto = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    sized = texts.select("doc_id", upto.alias("upto")).filter(F.col("upto") <= most_bytes).select("doc_id")  # of the chosen few
+    rows = texts.join(F.broadcast(sized), "doc_id").select("label", "text").mapInArrow(_bags, "label int, bag binary").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["bag"])))  # the same order in every run
     bags = [np.frombuffer(r["bag"], "<f4").reshape(-1, FEATURES) for r in rows]
     return fit(bags, np.array([r["label"] for r in rows], np.float64))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row; null and empty texts are one empty passage."""
+    """(doc_id, held_out, score, predicted) of every row; null and empty texts are one empty passage.
+
+    Repeated rows and null ids (never held out) keep a row each; equal texts have equal scores; a very long text is
+    scored alone over all its passages.
+    """
     names = ["doc_id", "held_out", "score", "predicted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in slices(batch.column(2)):
-                p = model.score(*passages(data, offsets))
+                p = np.round(model.score(*passages(data, offsets)), 12)  # sums may differ in the last bits by their neighbours
                 n = len(p)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(p.astype(np.float64)),

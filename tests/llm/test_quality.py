@@ -52,3 +52,36 @@ def test_nulls_empty_tables_and_clashing_columns(spark):
     got = ql.score(docs, ql.train(docs, labels)).collect()
     assert sorted(str(r.doc_id) for r in got) == ["1", "2", "2", "None"] and {r.score for r in got} == {0.5}
     assert ql.score(docs.limit(0), ql.train(docs.limit(0), labels)).count() == 0
+
+
+def _plain_score(model, text):
+    """Gated attention in plain loops over the passages of one text."""
+    x = np.clip((features(text)[0] - model.centre) / model.scale, -8, 8)
+    w, raw, hidden = model.weights, [], []
+    for row in x:
+        h = np.tanh(row @ w["encode"] + w["encode0"])
+        hidden.append(h)
+        raw.append(float((np.tanh(h @ w["tanh"]) / (1 + np.exp(-(h @ w["gate"])))) @ w["attend"]))
+    share = np.exp(np.array(raw) - max(raw))
+    pooled = sum(s * h for s, h in zip(share / share.sum(), hidden))
+    return 1 / (1 + np.exp(-(pooled @ w["out"] + w["out0"])))
+
+
+def test_scores_against_plain_loops(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = ql.train(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()} | {-1: "good words " * 60_000, -2: "!" * 5000, -3: "good words " * 60_000}
+    frame = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in ql.score(frame, model).collect()}
+    assert all(abs(found[k] - _plain_score(model, t)) < 1e-4 for k, t in texts.items()) and found[-1] == found[-3]
+
+
+def test_contradicting_and_repeated_labels(spark):
+    docs = spark.createDataFrame([(k, f"text {k} " * 100) for k in range(40)] * 2 + [(None, "x")], "doc_id long, text string")
+    rows = [(k, k % 2) for k in range(40)]
+    model = ql.train(docs, spark.createDataFrame(rows, "doc_id long, quality int"))
+    again = ql.train(docs, spark.createDataFrame(rows * 3 + [(None, 1), (5, None), (6, 7)], "doc_id long, quality int"))
+    assert all(np.array_equal(model.weights[k], again.weights[k]) for k in model.weights)
+    less = ql.train(docs, spark.createDataFrame(rows + [(k, 1 - k % 2) for k in range(20)], "doc_id long, quality int"))
+    only = ql.train(docs, spark.createDataFrame(rows[20:], "doc_id long, quality int"))
+    assert all(np.array_equal(less.weights[k], only.weights[k]) for k in less.weights)
