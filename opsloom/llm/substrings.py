@@ -365,7 +365,8 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
 
     Texts are UTF-8 bytes, null is empty; strings never cross rows and are judged on the input. `spans`
     lists start and end of the maximal removed runs. Texts under 400 bytes lose nothing; repeated rows
-    are other places; null ids stay null; other columns are ignored.
+    are other places; null ids stay null; other columns are ignored. A very long text is cut into its
+    segments once and hashed once, so time and memory grow with its length.
     """
     n = tasks(docs.sparkSession)
     place, text_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)), F.xxhash64("text")
@@ -389,7 +390,8 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
             .agg(F.min(F.struct("place", "text_key", "first", "last")).alias("s"))
             .groupBy("s.place", "s.text_key").agg(F.collect_list(F.struct("name", "digest", "whole", "s.first", "s.last")).alias("wanted"))
         )
-        return texts.join(one_each, ["place", "text_key"]).select("wanted", "text")
+        # rows of equal id and text are one text here; the join has already dealt them by these keys
+        return texts.join(one_each, ["place", "text_key"]).dropDuplicates(["place", "text_key"]).select("wanted", "text")
 
     targets = n * -(-max(repeated.filter("several AND NOT hot").count(), 1) // (n * MERGED_AT_ONCE))
     runs = wanted(located.filter("several AND NOT hot")).mapInArrow(_runs(targets), "target int, run binary")
@@ -400,6 +402,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     spans = located.filter("whole").select("place", "text_key", F.col("first").alias("low"), (F.col("last") + LENGTH).alias("high")).unionByName(
         located.filter("several AND NOT whole").join(found, ["name", "digest"])
         .select("place", "text_key", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high") + LENGTH).alias("high")))
-    per_text = spans.groupBy("place", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("found"))
+    # a set: rows of equal id and text bring the same spans once each
+    per_text = spans.groupBy("place", "text_key").agg(F.collect_set(F.struct("low", "high")).alias("found"))
     return rows.join(per_text, ["place", "text_key"], "left").select("doc_id", "text", "found").mapInArrow(
         _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")

@@ -102,3 +102,13 @@ def test_equal_windows_have_equal_names():
         assert (end - start).max() <= sb.REACH and end[-1] == len(data) - 399
         names.append(np.repeat(name, end - start)[lead : lead + 501])
     assert np.array_equal(*names)
+
+
+def test_many_equal_rows_without_id(spark):
+    import random
+
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(5000))
+    docs = spark.createDataFrame([(None, text)] * 600 + [(1, text[:2000] + "x" * 50), (2, "short")], "doc_id long, text string")
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans) for r in sb.repeated_bytes(docs).collect())
+    assert got == [(5, 0, 0), (2050, 2000, 1)] + [(5000, 5000, 1)] * 600
