@@ -346,7 +346,8 @@ def shingle_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
         # the roots have one row per linked class; copies of one class may be many rows: adaptive split
         called = found.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     called = staged(called.select("doc_id", "text_key", "n_shingles", "root"), "called")
-    least = called.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
+    # written first: with a plain scan on either side adaptive execution can split the join of a large component
+    least = staged(called.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
     return called.join(least, "root", "left").select(
         "doc_id", "text_key", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
@@ -365,7 +366,8 @@ def _cluster_links(rows: DataFrame, found: DataFrame, clusters: DataFrame, perce
     chosen = staged(members.join(speaker, "class").select("class", "cluster", "parts", "part", "pivot", "s.place", "s.text_key"), "speakers")
     texts = rows.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("place"), F.xxhash64("text").alias("text_key"), "text")
     # the list grows with the table, so the plan is a merge join at every size
-    held = staged(texts.join(chosen.hint("merge"), ["place", "text_key"]).select("class", "cluster", "parts", "part", "pivot", "text"), "cluster-texts")
+    held = staged(texts.join(chosen.hint("merge"), ["place", "text_key"]).dropDuplicates(["place", "text_key"]).select(
+        "class", "cluster", "parts", "part", "pivot", "text"), "cluster-texts")
     everywhere = F.when(F.col("pivot") & (F.col("parts") > 1), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
     first = staged(_dealt(held.withColumn("part", F.explode(everywhere)), size, percent), "part-links")
     several = chosen.filter("parts > 1").select("class", "cluster")
