@@ -14,7 +14,7 @@ from opsloom.llm.decontamination import without_leaks
 from opsloom.llm.jaccard import one_per_component
 from opsloom.llm.languages import accepted_documents
 from opsloom.llm.mixing import mixed_rows, shuffled
-from opsloom.llm.shared import shared_folder, staged
+from opsloom.llm.shared import shared_folder, staged, tasks
 from opsloom.llm.tokens import read_token_files, write_token_files
 
 
@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The rows are dealt by the output shard that the splitting tree gave their blocks, and shuffled inside each.
     """
     mix = mixed_rows(docs, weights=(3, 1, 2), share=1.5, most=2.0, shards=64)
-    return shuffled(mix, 64).select(*docs.columns)
+    return shuffled(mix, 64, pieces=-(-tasks(spark) // 64)).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
