@@ -1,7 +1,8 @@
 """Find benchmark items in documents up to word edits.
 
-An item of n words (at least 5) leaks into a document if some run of the document's words is within
-edit distance floor(n / 5) of it (similarity 0.8). Words are compared in lower case.
+An item of n words leaks into a document if some run of the document's words is within edit distance
+floor(n / 5) of it (similarity 0.8); items of one to four words must occur unchanged. Words are compared
+in lower case.
 
 1. Windows: an item within distance e must hold one of its e + 1 equal pieces unchanged, and all but e
    of its words must stand around it, so only windows of the item's size around such pieces are
@@ -12,25 +13,31 @@ edit distance floor(n / 5) of it (similarity 0.8). Words are compared in lower c
 3. Candidates are verified by the exact edit distance of the item to the best run inside the window's
    surroundings.
 
-Items are few; they are searched in blocks of at most `block` items, so what a task holds is bounded
-whatever the size of the benchmark.
+Items are numbered without a sort and indexed in blocks of at most `block`, each by a task that writes its
+index to the shared folder. The documents are read once: a task keeps the words of a batch and goes over the
+indexes one after the other, so what it holds is bounded whatever the size of the benchmark.
 """
 
 from __future__ import annotations
 
+import io
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from opsloom.llm.arrays import U, flat, mixed, shingled, slices, words
-from opsloom.llm.shared import staged
+from opsloom.llm.shared import make_folder, open_input, open_output, shared_folder, staged
 
-LEAST_WORDS, BLOCK = 5, 4000
+#: items of an index; indexes that a Python worker keeps (more are read again for each batch)
+BLOCK, KEPT_INDEXES = 4000, 4
 WALKS, SAMPLES, STEPS = 24, 12, 4
 SHIFTS = 5
 
@@ -57,14 +64,14 @@ def sample_keys(rows: np.ndarray) -> np.ndarray:
     """Keys of all samples: (row, walk * sample). The same for windows and items of one length."""
     n = rows.shape[1]
     places = np.stack([
-        np.stack([np.random.default_rng((walk, sample, n)).choice(2 * n, STEPS, replace=False) for sample in range(SAMPLES)])
+        np.stack([np.random.default_rng((walk, sample, n)).choice(2 * n, min(STEPS, 2 * n), replace=False) for sample in range(SAMPLES)])
         for walk in range(WALKS)])
     names = (np.arange(WALKS * SAMPLES, dtype=U) * U(1_000_003) + U(n)).reshape(WALKS, 1, SAMPLES)
     keys = []
     for at in range(0, len(rows), 512):
         paths = embed(rows[at : at + 512])
         key = np.broadcast_to(names, (WALKS, paths.shape[1], SAMPLES))
-        for k in range(STEPS):
+        for k in range(places.shape[2]):
             key = mixed(key + np.take_along_axis(paths, np.broadcast_to(places[:, None, :, k], key.shape), axis=2))
         keys.append(key.transpose(1, 0, 2).reshape(paths.shape[1], -1))
     return np.concatenate(keys) if keys else np.zeros((0, WALKS * SAMPLES), U)
@@ -73,19 +80,20 @@ def sample_keys(rows: np.ndarray) -> np.ndarray:
 @dataclass
 class Index:
     ids: np.ndarray
+    missing: np.ndarray  # where the id is null
     items: list[np.ndarray]
     grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by size: sorted keys, item, word offset
     keys: np.ndarray
     owners: np.ndarray
 
 
-def build_index(ids: list[int], texts: list[str]) -> Index:
-    """Pieces and sample keys of a block of items; items with too few words are left out."""
+def build_index(ids: list[int | None], texts: list[str]) -> Index:
+    """Pieces and sample keys of a block of items; items without words are left out."""
     data, offsets = flat(pa.array(texts, pa.string()))
     _, _, hashes, first = words(data[offsets[0] : offsets[-1]], offsets - offsets[0], lower=True)
     kept, items = [], []
     for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-        if b - a >= LEAST_WORDS:
+        if b > a:
             kept.append(ids[k])
             items.append(hashes[a:b])
     found: dict[int, list[tuple[int, int, int]]] = {}
@@ -106,7 +114,29 @@ def build_index(ids: list[int], texts: list[str]) -> Index:
         owners.append(np.repeat(own, table.shape[1]))
     keys, owners = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(keys, kind="stable")
-    return Index(np.array(kept, np.int64), items, grams, keys[order], owners[order])
+    missing = np.array([i is None for i in kept], bool)
+    return Index(np.array([0 if i is None else i for i in kept], np.int64), missing, items, grams, keys[order], owners[order])
+
+
+def write_index(index: Index, uri: str) -> None:
+    parts = {"ids": index.ids, "missing": index.missing, "keys": index.keys, "owners": index.owners,
+             "words": np.concatenate([np.zeros(0, U), *index.items]), "sizes": np.array([len(i) for i in index.items], np.int64),
+             "gram_sizes": np.array(list(index.grams), np.int64)}
+    for size, columns in index.grams.items():
+        parts |= {f"gram_{size}_{k}": column for k, column in enumerate(columns)}
+    held = io.BytesIO()
+    np.savez(held, **parts)
+    with open_output(uri) as out:
+        out.write(held.getvalue())
+
+
+@lru_cache(maxsize=KEPT_INDEXES)
+def read_index(uri: str) -> Index:
+    with open_input(uri) as file:
+        parts = np.load(io.BytesIO(file.read()), allow_pickle=False)
+    items = np.split(parts["words"], np.cumsum(parts["sizes"])[:-1]) if len(parts["sizes"]) else []
+    grams = {size: tuple(parts[f"gram_{size}_{k}"] for k in range(3)) for size in parts["gram_sizes"].tolist()}
+    return Index(parts["ids"], parts["missing"], items, grams, parts["keys"], parts["owners"])
 
 
 def expanded(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,49 +226,74 @@ def search(index: Index, parts: Iterable[tuple[int, np.ndarray, np.ndarray]]) ->
     return [(row, item, d, end) for (row, item), (d, end) in out.items()]
 
 
+def numbered(items: DataFrame, block: int) -> DataFrame:
+    """Written items with the number of their block, at most `block` rows each.
+
+    Rows are numbered inside the partition that writes them, and a partition starts where the one before
+    ends, so no task sees all items.
+    """
+    listed = staged(items.withColumn("place", F.monotonically_increasing_id()), "items")
+    part, row = F.shiftright("place", 33), F.col("place").bitwiseAND(2**33 - 1)
+    sizes = listed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")  # a row per partition
+    starts = sizes.select("part", before.alias("start"))
+    return listed.withColumn("part", part).join(starts, "part").select(
+        F.floor((F.col("start") + row) / block).alias("block"), "item_id", "text")
+
+
+def write_indexes(items: DataFrame, block: int) -> list[str]:
+    """Index files of the items (item_id, text), a file for each block, built by the tasks."""
+    folder = shared_folder(items.sparkSession, "item-indexes")
+    make_folder(folder)
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        index = build_index([None if pd.isna(i) else int(i) for i in rows["item_id"]], rows["text"].tolist())
+        uri = f"{folder}/{uuid.uuid4().hex}.npz"  # a task that runs twice writes two files, and one of them is named
+        if index.items:
+            write_index(index, uri)
+        return pd.DataFrame({"uri": [uri] if index.items else []}, dtype=object)
+
+    # ids as texts: a null would turn a column of whole numbers into floating point
+    rows = numbered(items.withColumn("item_id", F.col("item_id").cast("string")), block)
+    files = staged(rows.groupBy("block").applyInPandas(build, "uri string"), "index-files")
+    return sorted(r["uri"] for r in files.collect())  # a name for each block
+
+
+FOUND = "doc_id long, text_key long, item_id long, distance int, n_words int, end_word int"
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, text_key, item_id, distance, n_words, end_word): every document and item that match.
 
     One row per document row and item row: the smallest distance, the item's words, and the number of
-    document words up to the end of the best run. Null texts have no words; items under five words
-    and null items match nothing; null ids stay null; repeated rows give repeated rows.
+    document words up to the end of the best run. Null texts have no words; items without words match
+    nothing; null ids stay null; repeated rows give repeated rows.
     """
-    spark = docs.sparkSession
-    listed = staged(
-        benchmark.filter(F.col("text").isNotNull())
-        .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-        .withColumn("place", F.row_number().over(Window.orderBy("item_id", "text")) - 1)
-        .withColumn("block", F.floor(F.col("place") / block)), "items")
-    blocks = (listed.agg(F.max("block")).first()[0] or 0) + 1
+    items = benchmark.filter(F.col("text").isNotNull()).select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    uris = write_indexes(items, block)
+    if not uris:
+        return docs.sparkSession.createDataFrame([], FOUND)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    parts = []
-    for k in range(blocks):
-        held = listed.filter(F.col("block") == k).orderBy("place").collect()  # at most `block` items
-        index = build_index([-1 if r["item_id"] is None else r["item_id"] for r in held], [r["text"] for r in held])
-        missing = any(r["item_id"] is None for r in held)
-        if index.items:
-            found = rows.mapInArrow(_search(index), "doc_id long, text_key long, item_id long, distance int, n_words int, end_word int")
-            parts.append(found.withColumn("item_id", F.when(F.col("item_id") != -1, F.col("item_id"))) if missing else found)
-    if not parts:
-        return spark.createDataFrame([], "doc_id long, text_key long, item_id long, distance int, n_words int, end_word int")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return rows.mapInArrow(_search(uris), FOUND)
 
 
-def _search(index: Index):
+def _search(uris: list[str]):
     names = ["doc_id", "text_key", "item_id", "distance", "n_words", "end_word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = ((base, *words(data, offsets, lower=True)[2:]) for base, data, offsets in slices(batch.column(2)))
-            if found := search(index, parts):
-                at = pa.array([f[0] for f in found])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(at), batch.column(1).take(at), pa.array([int(index.ids[f[1]]) for f in found]),
-                    pa.array([f[2] for f in found], pa.int32()), pa.array([len(index.items[f[1]]) for f in found], pa.int32()),
-                    pa.array([f[3] for f in found], pa.int32())], names)
+            if len(uris) > 1:
+                parts = list(parts)  # the words of a batch, read once for all indexes
+            for uri in uris:
+                index = read_index(uri)
+                if found := search(index, parts):
+                    at, item = pa.array([f[0] for f in found]), np.array([f[1] for f in found])
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(index.ids[item], pa.int64(), mask=index.missing[item]),
+                        pa.array([f[2] for f in found], pa.int32()), pa.array([len(index.items[i]) for i in item.tolist()], pa.int32()),
+                        pa.array([f[3] for f in found], pa.int32())], names)
 
     return run
 

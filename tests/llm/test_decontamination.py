@@ -79,3 +79,25 @@ def test_edges_and_filter(spark):
     kept = dc.without_leaks(docs, items)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
     assert dc.leaks(docs, items.limit(0)).count() == 0 and dc.without_leaks(docs.limit(0), items).count() == 0
+
+
+def test_short_items_match_unchanged(spark):
+    items = spark.createDataFrame([(-1, "One"), (2, "one two"), (3, "two three four"), (4, "a b c d"), (None, "five"), (6, " .\t"), (7, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "zero ONE two"), (2, "one three two three four"), (3, "a b c x d"), (4, "five a b c d"), (5, "ones"), (6, "one")], "doc_id long, text string")
+    expected = {}
+    for r in docs.collect():
+        for i in items.collect():
+            text, item = r.text.lower().split(), i.text.lower().split()
+            ends = [k + len(item) for k in range(len(text)) if item and text[k : k + len(item)] == item]
+            if ends:
+                expected[r.doc_id, i.item_id] = (0, len(item), ends[0])
+    for block in (1, 3, 4000):
+        got = dc.leaks(docs, items, block=block).collect()
+        assert len(got) == len(expected) and {(r.doc_id, r.item_id): (r.distance, r.n_words, r.end_word) for r in got} == expected
+    assert {(1, -1), (4, None), (2, 3)} <= expected.keys() and not any(5 in k or 3 == k[0] for k in expected)
+
+
+def test_blocks_are_full_and_of_bounded_size(spark):
+    items = spark.range(0, 1000, 1, 7).selectExpr("id AS item_id", "concat('word', id) AS text")
+    sizes = dc.numbered(items, 64).groupBy("block").count().collect()
+    assert len(sizes) == 16 and sorted(r["count"] for r in sizes)[1:] == [64] * 15
