@@ -1,5 +1,9 @@
 """Language of a text by Bayesian fusion of several kinds of evidence.
 
+The languages are those that the table itself declares: primary tags of two or three letters, but for
+those that name no single language. What a task holds grows with their number (64 kB each), not with
+the rows; tags of other forms are no languages.
+
 - text: naive Bayes over hashed byte trigrams, counted over all documents with a declared language;
   at most 60 trigrams' worth of evidence, because neighbouring trigrams depend on each other
 - declared markup language (`lang`): how often texts of a language declare it, from the table itself
@@ -15,6 +19,7 @@ others together. Missing evidence changes nothing; a row without any letter is `
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +30,8 @@ from opsloom.llm.arrays import U, slices
 from opsloom.llm.shared import staged
 from opsloom.sources.tables import page_text
 
-LANGUAGES = ("en", "de", "fr", "es")
+#: tags for texts without a language, of several, of none that has a code, or not told
+NO_LANGUAGE = ("und", "mul", "mis", "zxx")
 BITS, EVIDENCE, UND_PRIOR, SMOOTHING = 14, 60, 0.01, 20.0
 
 # letters in lower case; everything else in ASCII is a blank
@@ -47,9 +53,30 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return bins.astype(np.int64), row[:-2][keep]
 
 
-def trigram_model(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> np.ndarray:
-    """Log probabilities (language, bin) from all rows that declare one of the languages."""
-    place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.lower("lang")) - 1
+def _tag(col: Column) -> Column:
+    """Primary part of a language tag, empty if there is none."""
+    return F.coalesce(F.lower(F.regexp_extract(F.trim(col), r"^([A-Za-z]+)", 1)), F.lit(""))
+
+
+def declared_languages(docs: DataFrame) -> list[str]:
+    """The languages that rows of a table declare, most rows first, then by name."""
+    tags = docs.filter(F.col("text").isNotNull()).groupBy(_tag(F.col("lang").cast("string")).alias("tag")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = tags.filter(F.length("tag").between(2, 3) & ~F.col("tag").isin(*NO_LANGUAGE))
+    return [r["tag"] for r in wanted.orderBy(F.desc("n"), "tag").collect()]  # at most the tags of two or three letters
+
+
+@dataclass
+class Model:
+    languages: list[str]
+    logs: np.ndarray  # log probabilities (language, bin)
+
+
+def trigram_model(docs: DataFrame) -> Model:
+    """Log probabilities from all rows that declare a language."""
+    languages = declared_languages(docs)
+    if not languages:
+        return Model([], np.zeros((0, 1 << BITS), np.float32))
+    place = F.array_position(F.lit(languages), _tag(F.col("lang").cast("string"))) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), 1 << BITS), np.int64)
@@ -61,7 +88,7 @@ def trigram_model(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> np.n
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"cell": used, "n": counts.reshape(-1)[used]})
 
-    rows = docs.filter(F.lower("lang").isin(*languages)).select(place.cast("long").alias("place"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(place.cast("long").alias("place"), F.col("text").cast("string").alias("text")).filter("place >= 0")
     cells = rows.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # languages x bins at most
     counts = np.full(len(languages) << BITS, 0.5)
     for r in cells:
@@ -69,7 +96,7 @@ def trigram_model(docs: DataFrame, languages: Sequence[str] = LANGUAGES) -> np.n
     counts = counts.reshape(len(languages), -1)
     logs = np.log(counts / counts.sum(axis=1, keepdims=True))
     logs[counts.max(axis=1) < 1] -= 1  # a language without any text must not win by its other evidence alone
-    return logs.astype(np.float32)
+    return Model(languages, logs.astype(np.float32))
 
 
 def text_evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
@@ -99,15 +126,22 @@ def text_evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
 
 def _known(col: Column, languages: Sequence[str]) -> Column:
     """Primary part of a language tag if it is one of the languages, else `other`; null if empty."""
-    tag = F.lower(F.regexp_extract(F.trim(col), r"^([A-Za-z]+)", 1))
-    return F.when(F.length(tag) == 0, None).when(tag.isin(*languages), tag).otherwise("other")
+    tag = _tag(col)
+    return F.when(F.length(tag) == 0, None).when(F.array_contains(F.lit(list(languages)), tag), tag).otherwise("other")
+
+
+def _doubles(values) -> Column:
+    return F.lit([float(v) for v in values]).cast("array<double>")
 
 
-def identify(rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES) -> DataFrame:
+def identify(rows: DataFrame, model: Model) -> DataFrame:
     """Add language, probability and accepted to rows (ids..., text, declared, host); drops the text.
 
-    Hosts are split at dots; a host without dots is its own domain and has no suffix.
+    Hosts are split at dots; a host without dots is its own domain and has no suffix. Null and empty texts, and
+    all texts where there are no languages, are `und`; ties go to the language that more rows declare;
+    repeated rows give repeated rows, further columns stay (but none called text, declared, host).
     """
+    languages, size = model.languages, len(model.languages)
     classes = [*languages, "und"]
     labels = F.split(F.lower("host"), r"\.")
     dotted = F.size(labels) >= 2
@@ -117,53 +151,64 @@ def identify(rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANG
         "domain": F.when(dotted, F.concat_ws(".", F.slice(labels, -2, 2))).when(F.length("host") > 0, F.lower("host")),
         "suffix": F.when(dotted, F.element_at(labels, -1)),
     })
-    scored = text_evidence(keyed, model)
-    best = F.get(F.array(*[F.lit(c) for c in classes]), F.array_position("evidence", F.array_max("evidence")).cast("int") - 1)
+    scored = text_evidence(keyed, model.logs)
+    best = F.array_position("evidence", F.array_max("evidence")).cast("int") - 1
     scored = staged(scored.withColumn("best", best), "evidence")
+    if not languages:
+        return scored.select(*[c for c in rows.columns if c not in ("text", "declared", "host")], F.lit("und").alias("language"),
+                             F.lit(1.0).alias("probability"), "declared", "host", F.lit(False).alias("accepted"))
+    # a text that fits no language better than `und` (a letter or two) says nothing about its host
+    telling = F.array_max("evidence") > F.get("evidence", F.lit(size))
+    cells = staged(scored.filter(telling).groupBy("declared", "host", "domain", "suffix", "best").agg(
+        F.count(F.lit(1)).alias("n")), "language-counts")
 
     def counts(*by: str) -> DataFrame:
-        return scored.filter(F.col("best") != "und").groupBy(*by).agg(
-            *[F.count(F.when(F.col("best") == c, 1)).cast("double").alias(f"n_{c}") for c in languages])
-
-    overall = counts().first()
-    total = sum(overall)
-    share = {c: (overall[f"n_{c}"] + 1) / (total + len(languages)) for c in languages}
-    # declared languages: at most (languages + other) rows
-    said = {r["declared"]: r for r in counts("declared").filter(F.col("declared").isNotNull()).collect()}
-    tags = [*languages, "other"]
-    per_language = {c: sum(r[f"n_{c}"] for r in said.values()) for c in languages}
-    declared = {c: {t: ((said[t][f"n_{c}"] if t in said else 0) + 1) / (per_language[c] + len(tags)) for t in tags} for c in languages}
-
-    def smoothed(table: DataFrame, prior) -> DataFrame:
-        n = sum(F.col(f"n_{c}") for c in languages)
-        return table.withColumns({f"p_{c}": (F.col(f"n_{c}") + SMOOTHING * prior(c)) / (n + SMOOTHING) for c in languages})
-
-    hosts = counts("host", "domain").filter(F.col("host").isNotNull())
-    domains = smoothed(hosts.groupBy("domain").agg(*[F.sum(f"n_{c}").alias(f"n_{c}") for c in languages]), lambda c: F.lit(share[c]))
-    domains = domains.select("domain", *[F.col(f"p_{c}").alias(f"d_{c}") for c in languages])
-    hosts = staged(smoothed(hosts.join(domains, "domain"), lambda c: F.col(f"d_{c}")).select("host", *[f"p_{c}" for c in languages]), "hosts")
-    suffixes = counts("suffix").filter(F.col("suffix").isNotNull())
-    kinds = suffixes.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"n_{c}").alias(c) for c in languages]).first()
-    suffixes = staged(suffixes.select("suffix", *[
-        ((F.col(f"n_{c}") + 1) / ((kinds[c] or 0.0) + kinds["n"])).alias(f"s_{c}") for c in languages]), "suffixes")
+        """Rows per language as an array, for each known key."""
+        one = cells.filter(F.col(by[0]).isNotNull()).groupBy(*by, "best").agg(F.sum("n").cast("double").alias("n"))
+        held = one.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m"))  # an entry for each language
+        return held.select(*by, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0.0))).alias("n"))
+
+    def smoothed(n: str, prior: Column) -> Column:
+        total = F.aggregate(n, F.lit(0.0), lambda t, x: t + x) + SMOOTHING
+        return F.transform(F.arrays_zip(F.col(n).alias("n"), prior.alias("p")), lambda x: (x["n"] + SMOOTHING * x["p"]) / total)
+
+    # (languages + 1) x languages rows at most
+    said = {(r["declared"], r["best"]): r["n"] for r in cells.groupBy("declared", "best").agg(F.sum("n").alias("n")).collect()}
+    overall = np.zeros(size)
+    tags = {t: np.ones(size) for t in [*languages, "other"]}
+    for (tag, k), n in said.items():
+        overall[k] += n
+        if tag is not None:
+            tags[tag][k] += n
+    share = (overall + 1) / (overall.sum() + size)
+    known = sum(tags.values())
+    said_logs = rows.sparkSession.createDataFrame(  # a row for each language
+        [(t, [float(x) for x in np.log(n / known)]) for t, n in tags.items()], "declared string, said array<double>")
+
+    domains = counts("domain").select("domain", smoothed("n", _doubles(share)).alias("p_domain"))
+    hosts = counts("host", "domain").join(domains, "domain").select("host", smoothed("n", F.col("p_domain")).alias("p_host"))
+    hosts = staged(hosts, "hosts")
+    suffixes = counts("suffix")
+    kinds = suffixes.count()
+    per_language = np.full(size, float(kinds))
+    for r in cells.filter(F.col("suffix").isNotNull()).groupBy("best").agg(F.sum("n").alias("n")).collect():  # a row for each language
+        per_language[r["best"]] += r["n"]
+    suffixes = staged(suffixes.select("suffix", F.transform(
+        F.arrays_zip("n", _doubles(per_language).alias("all")), lambda x: F.log((x["n"] + 1) / x["all"])).alias("s_host")), "suffixes")
 
     # ids and numbers only; a host with a third of all rows is split by adaptive execution unless its table is small
-    joined = scored.join(hosts, "host", "left").join(suffixes, "suffix", "left")
-    logs = []
-    for k, c in enumerate(classes):
-        if c == "und":
-            parts = [F.lit(float(np.log(UND_PRIOR))), F.when(F.col("declared").isNotNull(), -np.log(len(tags))).otherwise(0.0),
-                     F.when(F.col("s_" + languages[0]).isNotNull(), -np.log(max(1, kinds["n"]))).otherwise(0.0)]
-        else:
-            said_as = F.lit(0.0)
-            for t in tags:
-                said_as = F.when(F.col("declared") == t, float(np.log(declared[c][t]))).otherwise(said_as)
-            parts = [F.log(F.coalesce(F.col(f"p_{c}"), F.lit(share[c])) * (1 - UND_PRIOR)), said_as, F.log(F.coalesce(F.col(f"s_{c}"), F.lit(1.0)))]
-        logs.append(parts[0] + parts[1] + parts[2] + F.get("evidence", F.lit(k)))
-    out = joined.withColumn("logs", F.array(*logs))
+    joined = (scored.join(hosts, "host", "left").join(suffixes, "suffix", "left").join(F.broadcast(said_logs), "declared", "left"))
+    none = F.lit([0.0] * size).cast("array<double>")
+    parts = F.arrays_zip(
+        F.slice("evidence", 1, size).alias("text"), F.coalesce("p_host", _doubles(share)).alias("host"),
+        F.coalesce("said", none).alias("said"), F.coalesce("s_host", none).alias("suffix"))
+    told = F.transform(parts, lambda x: F.log(x["host"] * (1 - UND_PRIOR)) + x["said"] + x["suffix"] + x["text"])
+    und = (F.get("evidence", F.lit(size)) + float(np.log(UND_PRIOR)) + F.when(F.col("said").isNotNull(), -float(np.log(size + 1))).otherwise(0.0)
+           + F.when(F.col("s_host").isNotNull(), -float(np.log(max(1, kinds)))).otherwise(0.0))
+    out = joined.withColumn("logs", F.concat(told, F.array(und)))
     out = out.withColumn("top", F.array_max("logs")).withColumn(
         "probability", 1 / F.aggregate("logs", F.lit(0.0), lambda t, x: t + F.exp(x - F.col("top"))))
-    language = F.get(F.array(*[F.lit(c) for c in classes]), F.array_position("logs", F.col("top")).cast("int") - 1)
+    language = F.get(F.lit(classes), F.array_position("logs", F.col("top")).cast("int") - 1)
     kept = [c for c in rows.columns if c not in ("text", "declared", "host")]
     return out.select(
         *kept, F.when(F.col("evidence").isNull(), "und").otherwise(language).alias("language"),
