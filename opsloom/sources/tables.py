@@ -39,13 +39,15 @@ def normal_header(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 
 
-def read_raw_csv(spark: SparkSession, path: str, header: Sequence[str], source: str, encoding: str = "UTF-8") -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, header: Sequence[str], source: str, encoding: str = "UTF-8",
+                 quoted_breaks: bool = True) -> DataFrame:
     """Delimited file as an all-text table with normal headers and a provenance column.
 
-    The header is given, so the file is read once and never sampled for types.
+    The header is given, so the file is read once and never sampled for types. A quoted field may hold line
+    breaks, which makes a file one task; without `quoted_breaks` every line is a row and tasks share a file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.csv(path, header=True, schema=schema, encoding=encoding, multiLine=True, escape='"',
+    raw = spark.read.csv(path, header=True, schema=schema, encoding=encoding, multiLine=quoted_breaks, escape='"',
                          enforceSchema=True)
     return raw.toDF(*[normal_header(c) for c in header]).withColumn("source_file", F.lit(source))
 
@@ -74,10 +76,13 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def overwrite_sink(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the target; with a partition column only the partitions that occur are replaced."""
-    writer = df.write.mode("overwrite")
+    """Replace the target; with a partition column only the partitions that occur are replaced.
+
+    Rows of a partition value meet in a task, so that not every task writes a file for every value; adaptive
+    execution splits a hot value over several tasks and joins small ones, by the advisory partition size.
+    """
+    writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
-        # one task per partition value would make a hot day one file: let rows of a value spread
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     writer.parquet(path)
 
