@@ -78,6 +78,22 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     assert text.corpus_fingerprint(rows.where("id > 0"), "id", "t", "p").first()[0] != first
 
 
+def test_fingerprint_hashes_sorted_digests(spark):
+    import hashlib
+    from collections import Counter
+    from itertools import groupby
+
+    def sha(t):
+        return hashlib.sha256(t.encode()).hexdigest()
+
+    rows = [(i % 9, f"text {i % 7}") for i in range(500)] + [(1, None), (None, "x"), (1, None)]
+    counted = Counter(sha(f"{'' if k is None else k}:{t or ''}") for k, t in rows)
+    entries = sorted(f"{h}x{n}" for h, n in counted.items())
+    pieces = [sha(",".join(some)) for _, some in groupby(entries, lambda e: e[:4])]
+    found = text.corpus_fingerprint(spark.createDataFrame(rows, "id long, t string").repartition(3), "id", "t", "p").first()
+    assert (found["fingerprint"], found["n_texts"]) == (sha(",".join(pieces) + "|p"), len(rows))
+
+
 @pytest.mark.parametrize("block_rows", [16, 64])
 def test_blocked_neighbours_match_brute_force(spark, block_rows):
     rng = np.random.default_rng(3)
