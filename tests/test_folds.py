@@ -74,3 +74,15 @@ def test_too_few_rows(spark, made):
     assert folds.walk_forward(few, "day", ["id"], FEATURES, "y", 10, 5).collect() == []
     assert folds.forward_search(few, "day", ["id"], FEATURES, "y", [1.0]).collect() == []
     assert folds.growing_fits(few.limit(0), "day", ["id"], FEATURES, "y").collect() == []
+
+
+def test_task_folds_cover_the_samples_at_both_windows(spark):
+    import __spark_entry__ as entry_points
+
+    found = {name: entry_points.queries()[name](spark, "/root/testdata/sf0.01").collect() for name in ("walk_forward_task_folds", "walk_forward_wide_task_folds")}
+    for (rows, window, ahead) in ((found["walk_forward_task_folds"], 20000, 4000), (found["walk_forward_wide_task_folds"], 50000, 10000)):
+        n = {(r["fold"], r["role"]): (r["n"], r["last_position"]) for r in rows}
+        folds = max(f for f, _ in n) + 1
+        assert n == {(f, role): (window, window + f * ahead) if role == "train" else (ahead, window + (f + 1) * ahead)
+                     for f in range(folds) for role in ("train", "predict")}
+    assert len(found["walk_forward_task_folds"]) >= 20
