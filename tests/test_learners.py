@@ -147,6 +147,16 @@ def test_router_learns_from_training_rows_and_reports_the_rest(spark):
     assert models.intent_vocabulary(grams) == ["a", "b"] and models.intent_vocabulary(grams, 1) == ["a", "b", "c"]
 
 
+def test_router_brings_no_terms_to_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    sent, collect = [], Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda self: (lambda rows: sent.append(len(rows)) or rows)(collect(self)))
+    rows = [(k, " ".join(f"{a}{chr(97 + k // d % 26)}{chr(97 + k // d // 26)}" for d, a in ((1, "u"), (2, "v"), (3, "w"))) + (" left" if k % 2 else " right"), "ab"[k % 2]) for k in range(200)]
+    router = models.train_intent_router(spark.createDataFrame(rows, "id long, text string, intent string"), "text", "intent", ["id"], least=1, rounds=2)
+    assert max(sent) <= 4 and router.weights.count() > 500 and len(router.intercepts) == 2
+
+
 def test_corpus_fingerprint_is_of_the_multiset(spark):
     rows = [(k % 5, f"text {k}") for k in range(40)] + [(1, None), (None, "x")]
 
