@@ -179,3 +179,21 @@ def test_lemmatise_with_two_lemmas_and_a_repeated_key(spark):
     lexicon = spark.createDataFrame([("cats", "cat"), ("cats", "catt"), ("cats", "cat")], "form string, lemma string")
     out = text.lemmatise(rows, "id", "tokens", lexicon).collect()
     assert sorted(r["tokens"] for r in out) == [["cat"], ["cat", "dog"]]
+
+
+def test_visits_are_made_and_sent_in_bounded_pieces():
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    centres, cell = rng.normal(size=(500, 8)), np.repeat(np.arange(500), 40)
+    rings = vectors.Rings(centres, cell, np.tile(np.arange(40), 500), np.zeros(20_000), np.ones(20_000), np.full(20_000, 64))
+    batch = pd.DataFrame({"place": range(300), "id": range(300), "embedding": list(rng.normal(size=(300, 8))), "tau": np.inf})
+    held = []
+
+    def all_rings(gaps, tau):
+        held.append(len(gaps) * len(cell))
+        return np.broadcast_to(np.arange(len(cell)) % 5 == 0, (len(gaps), len(cell)))
+
+    sent = list(vectors._visit_batches(batch, rings, all_rings))
+    assert max(held) <= 1 << 20 and max(map(len, sent)) <= 4096 and sum(map(len, sent)) == 300 * 4000
+    assert [p.iloc[0]["id"] for p in sent] == sorted(p.iloc[0]["id"] for p in sent)
