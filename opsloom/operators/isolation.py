@@ -76,32 +76,43 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str]) -> DataFrame
     The expected path follows from the rows each tree was grown on. The node table has a fixed
     size (trees x 511), so every task may hold it whole.
     """
+    return forest_scores(df, nodes, features, [math.inf]).withColumn("anomaly_score", F.col("_scores")[0]).drop("_scores")
+
+
+def forest_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], counts: Sequence[float]) -> DataFrame:
+    """Add `_scores`: for each of the rising counts the score of the trees numbered below it, in one walk of all trees."""
     table = nodes.toPandas()
     width = int(table["node"].max()) + 1
     packed = []
-    for _, tree in table.groupby("tree"):
+    for number, tree in table.groupby("tree"):
         feature, cut, length = np.full(width, -1), np.zeros(width), np.zeros(width)
         at = tree["node"].to_numpy()
         feature[at], cut[at] = tree["feature"], tree["cut"]
         length[at] = tree["depth"] + average_path(tree["rows"].to_numpy())
-        packed.append((feature, cut, length))
+        packed.append((number, feature, cut, length))
     steps, names = int(table["depth"].max()), list(features)
-    scale = float(average_path(table.loc[table["node"] == 1, "rows"].to_numpy()).mean()) or 1.0
+    roots = table.loc[table["node"] == 1]
+    first = [max(sum(number < n for number, *_ in packed), 1) for n in counts]
+    scales = [float(average_path(roots.loc[roots["tree"] < n, "rows"].to_numpy()).mean()) or 1.0 for n in counts]
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("array<double>")
     def walk(part: pd.DataFrame) -> pd.Series:
         values = part.to_numpy(dtype=np.float64)
-        everyone, total = np.arange(len(part)), np.zeros(len(part))
-        for feature, cut, length in packed:
+        everyone, total, out = np.arange(len(part)), np.zeros(len(part)), {}
+        for k, (_, feature, cut, length) in enumerate(packed, 1):
             node = np.ones(len(part), dtype=np.int64)
             for _ in range(steps):
                 f = feature[node]
                 right = values[everyone, np.maximum(f, 0)] >= cut[node]
                 node = np.where(f >= 0, 2 * node + right, node)
             total += length[node]
-        return pd.Series(-np.power(2.0, -(total / len(packed)) / scale))
+            if k in first:
+                out[k] = total.copy()
+        scores = [-np.power(2.0, -(out[k] / k) / scale) for k, scale in zip(first, scales)]
+        return pd.Series(list(np.stack(scores, axis=1)))
 
-    return df.withColumn("anomaly_score", walk(F.struct(*[F.col(c).cast("double").alias(c) for c in names])))
+    # not repeated below a filter on the score
+    return df.withColumn("_scores", walk.asNondeterministic()(F.struct(*[F.col(c).cast("double").alias(c) for c in names])))
 
 
 def cut_score(train_scores: DataFrame, contamination: float) -> DataFrame:
@@ -125,11 +136,14 @@ def search_trees(train_rows: DataFrame, held: DataFrame, features: Sequence[str]
                  counts: Sequence[int] = (100, 200, 300), contamination: float = 0.02) -> DataFrame:
     """Share of injected anomalies found on the held rows for each number of trees; the first best is chosen."""
     injected = shared(metrics.inject_anomalies(held, ids).where(F.col("injected") == 1))
-    rows = []
-    for n in counts:
-        nodes, cut = train_flagging(train_rows, features, ids, n, contamination)
-        found = flagged(score(injected, nodes, features), cut).agg(F.avg("is_anomaly")).first()[0]
-        rows.append((n, float(found or 0.0)))
+    counts = sorted(counts)
+    # a tree depends on its number only, so the largest forest holds the others
+    nodes = shared(train(train_rows, features, ids, counts[-1]))
+    scored = forest_scores(train_rows, nodes, features, counts).select(F.posexplode("_scores").alias("_place", "anomaly_score"))
+    cuts = {r["_place"]: r["cut"] for r in exact_percentiles(scored, "anomaly_score", {"cut": contamination}, by=["_place"]).collect()}
+    below = [F.avg((F.col("_scores")[k] - F.lit(cuts.get(k)).cast("double") < 0).cast("int")) for k in range(len(counts))]
+    found = forest_scores(injected, nodes, features, counts).agg(*below).first()
+    rows = [(n, float(share or 0.0)) for n, share in zip(counts, found)]
     best = max(rows, key=lambda r: (r[1], -r[0]))[0]
     return train_rows.sparkSession.createDataFrame([(n, v, int(n == best)) for n, v in rows], "trees int, detected double, chosen int")
 

@@ -99,6 +99,20 @@ def test_isolation_search_and_drivers(spark):
     rows.unpersist()
 
 
+def test_search_grows_and_scores_one_forest(spark, monkeypatch):
+    names = ["a", "b", "items_per_hour"]
+    rows = spark.range(900).selectExpr("id", "CAST(id * 37 % 101 AS double) AS a", "CAST(id * 53 % 89 AS double) AS b").withColumn("items_per_hour", F.col("a") - F.col("b")).cache()
+    train_rows, held, grown, real = rows.where("id < 600"), rows.where("id >= 600"), [], isolation.train
+    monkeypatch.setattr(isolation, "train", lambda *a, **k: grown.append(a[3]) or real(*a, **k))
+    monkeypatch.setattr(isolation.metrics, "inject_anomalies", lambda df, ids: df.withColumn("injected", F.lit(1)))
+    found = {r["trees"]: r["detected"] for r in isolation.search_trees(train_rows, held, names, ["id"], (5, 12, 20)).collect()}
+    assert grown == [20]  # before: 5, 12 and 20
+    for n, detected in found.items():
+        nodes, cut = isolation.train_flagging(train_rows, names, ["id"], n, 0.02)
+        assert detected == isolation.flagged(isolation.score(held, nodes, names), cut).agg(F.avg("is_anomaly")).first()[0]
+    rows.unpersist()
+
+
 def test_registry_keeps_one_champion_of_two_rivals(spark):
     store = Registry(spark, work_folder(spark, "registry"))
     assert store.champion() is None
