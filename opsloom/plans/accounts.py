@@ -50,17 +50,17 @@ def _columns(names, fill: bool = False) -> str:
 
 @query("account_sent", f"{PROFILE} SELECT account_key, {_columns(SENT)} FROM profile WHERE sent_count > 0")
 def _(t: Tables):
-    return rounded(accounts.account_sent(t.view("v_transactions")))
+    return rounded(accounts.account_sent(t.once("v_transactions")))
 
 
 @query("account_received", f"{PROFILE} SELECT account_key, {_columns(RECEIVED)} FROM profile WHERE received_count > 0")
 def _(t: Tables):
-    return rounded(accounts.account_received(t.view("v_transactions")))
+    return rounded(accounts.account_received(t.once("v_transactions")))
 
 
 @query("account_velocity", f"{PROFILE} SELECT account_key, max_daily_sent FROM profile WHERE sent_count > 0")
 def _(t: Tables):
-    return accounts.account_velocity(t.view("v_transactions"))
+    return accounts.account_velocity(t.once("v_transactions"))
 
 
 @query("pair_intersection", f"WITH {SIDES} SELECT DISTINCT account_key, other AS counterparty_key FROM marked WHERE mutual")
@@ -75,7 +75,7 @@ def _(t: Tables):
 
 @query("full_outer_features", f"{PROFILE} SELECT account_key, {_columns(SENT + RECEIVED, fill=True)} FROM profile")
 def _(t: Tables):
-    ledger = t.view("v_transactions")
+    ledger = t.once("v_transactions")
     return rounded(accounts.full_outer_features(accounts.account_sent(ledger), accounts.account_received(ledger)))
 
 
@@ -87,11 +87,11 @@ FEATURES_SQL = f"""{PROFILE} SELECT account_key, {_columns([c for c in accounts.
 
 @query("account_features", FEATURES_SQL)
 def _(t: Tables):
-    return rounded(accounts.account_features(t.view("v_transactions")))
+    return rounded(accounts.account_features(t.once("v_transactions")))
 
 
 @query("fill_null_inf", f"""
 SELECT account_key, {", ".join(f"r4(coalesce({c}, 0)) AS {c}" for c in accounts.FEATURES)}, label
 FROM ({FEATURES_SQL})""")
 def _(t: Tables):
-    return rounded(accounts.fill_null_inf(accounts.account_features(t.view("v_transactions"))))
+    return rounded(accounts.fill_null_inf(accounts.account_features(t.once("v_transactions"))))
