@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opsloom.functions.reuse import shared
 from opsloom.operators.ordering import exact_percentiles
 
 
@@ -30,18 +31,22 @@ def rate_by_category(df: DataFrame, columns: Sequence[str], target: str) -> Data
 
 
 def describe_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, minimum, quartiles and maximum, one row per column."""
-    out = None
-    for c in columns:
-        x = F.col(c).cast("double")
-        basics = df.agg(
-            F.lit(c).alias("column_name"), F.count(x).alias("n"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
-        quartiles = exact_percentiles(df, c, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-        row = basics.withColumn("_q", quartiles.select(F.struct("p25", "p50", "p75").alias("q")).scalar())
-        row = row.select("column_name", "n", "mean", "std", "min", "_q.p25", "_q.p50", "_q.p75", "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Count, mean, deviation, minimum, quartiles and maximum, one row per column.
+
+    One pass over the rows counts the values of all columns; every figure comes from these counts.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]))
+    counts = shared(df.select(pairs.alias("p")).where(F.col("p.v").isNotNull())
+                    .groupBy("p.column_name", "p.v").agg(F.count(F.lit(1)).alias("n")))
+    sums = counts.groupBy("column_name").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    means = F.broadcast(sums.select("column_name", F.col("n").alias("_all"), "mean"))  # a row per column
+    squares = counts.join(means, "column_name").groupBy("column_name").agg(F.sqrt(F.try_divide(
+        F.sum(F.col("n") * (F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean"))), F.max("_all") - 1)).alias("std"))
+    quartiles = exact_percentiles(counts, "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["column_name"], weight="n")
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
+    out = names.join(sums, "column_name", "left").join(squares, "column_name", "left").join(quartiles, "column_name", "left")
+    return out.fillna(0, ["n"]).orderBy("place").select("column_name", "n", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:

@@ -1,9 +1,10 @@
 """What jobs send and read: a job that sends rows per facet, or reads its input several times, fails at size."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts
+from opsloom.operators import accounts, profile
 from opsloom.plans.catalogue import Tables
 
 
@@ -36,6 +37,23 @@ def test_payments_are_sent_once_per_side(spark, monkeypatch):
     assert "facet" in plan and planned.count("Exchange hashpartitioning") == 1
 
 
+def test_description_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    made = spark.range(1000).select(counted(F.col("id").cast("double")).alias("a"), F.when(F.col("id") % 3 == 0, F.col("id") % 10).alias("b"),
+                                    F.lit(None).cast("int").alias("c"))
+    a, b, c = profile.describe_stats(made, ["a", "b", "c"]).collect()
+    assert seen.value == 1000
+    assert (a["column_name"], a["n"], a["mean"], a["min"], a["p25"], a["p50"], a["max"]) == ("a", 1000, 499.5, 0.0, 249.75, 499.5, 999.0)
+    assert a["std"] == pytest.approx(288.8194360957494) and b["n"] == 334
+    assert (c["n"], c["mean"], c["std"], c["p50"]) == (0, None, None, None)
+
+
 def test_tasks_of_a_load_are_joined_once(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     assert t.once("v_tasks_clean") is t.once("v_tasks_clean")
