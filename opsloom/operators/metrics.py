@@ -123,7 +123,8 @@ def stratified_split(df: DataFrame, label: str, ids: Sequence[str | Column],
     cuts = group_keys(keyed, label, "_tie", {
         "_test": lambda n: size(n, test), "_both": lambda n: size(n, test) + size(n, validation)}).withColumnRenamed(label, "_label")
     part = (F.when(F.col("_tie") <= F.col("_test"), "test").when(F.col("_tie") <= F.col("_both"), "validation").otherwise("train"))
-    return keyed.join(cuts, F.col(label).eqNullSafe(F.col("_label")), "left").withColumn("split", part).select(*df.columns, "split")
+    # A row per label is broadcast; dealt by label, the rows of one label would meet in one task.
+    return keyed.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_label")), "left").withColumn("split", part).select(*df.columns, "split")
 
 
 def union_train_val(split: DataFrame) -> DataFrame:

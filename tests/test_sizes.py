@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts, profile
+from opsloom.operators import accounts, metrics, profile
 from opsloom.plans.catalogue import Tables
 
 
@@ -54,6 +54,17 @@ def test_description_reads_its_rows_once(spark):
     assert (c["n"], c["mean"], c["std"], c["p50"]) == (0, None, None, None)
 
 
+def test_split_does_not_deal_rows_by_label(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = metrics.stratified_split(spark.range(500).select("id", (F.col("id") % 2).alias("y")), "y", ["id"])
+        assert "SortMergeJoin" not in split._jdf.queryExecution().executedPlan().toString()
+        assert {(r["split"], r["y"]): r["count"] for r in split.groupBy("split", "y").count().collect()}[("test", 0)] == 38
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_tasks_of_a_load_are_joined_once(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     assert t.once("v_tasks_clean") is t.once("v_tasks_clean")
