@@ -102,7 +102,9 @@ def walk_forward(rows: DataFrame, day: str, ties: Sequence[str | Column], featur
     last = placed.agg(F.floor((F.count(F.lit(1)) - window) / ahead) - 1).first()[0]
     shifts, wide = _shifts(placed, features), len(features) + 2
     p = F.col("_p")
-    pieces = piece_sums(placed, {"_a": F.floor(p / ahead), "_b": F.floor((p - window) / ahead)}, features, target, shifts)
+    # Dealt by place: rows of a piece meet before they are summed, or nearly every row would send sums of its own.
+    dealt = placed.repartition(F.floor(p / ahead)).sortWithinPartitions("_p")
+    pieces = piece_sums(dealt, {"_a": F.floor(p / ahead), "_b": F.floor((p - window) / ahead)}, features, target, shifts)
     low, high = F.greatest(F.col("_b") + 1, F.lit(0)), F.least(F.col("_a"), F.lit(last))
     folds = pieces.where(low <= high).select(F.explode(F.sequence(low, high)).alias("fold"), "s")
     fits = _fits(_added(folds, ["fold"], wide * (wide + 1) // 2), "fold", wide, ridge)

@@ -259,6 +259,7 @@ LATE_FEATURES = ["volume", "complexity_rank", "contract_productivity", "pickup_d
 def _(t: Tables):
     """Late risk of each task by a linear model of the 20 000 tasks before its fold (the samples hold too few for 50 000)."""
     rows = workload.calendar_features(workload.ordinal_coefficients(workload.productivity(workload.duration_features(t.view("v_tasks_clean")))), "created")
+    rows = staged(rows.select(*TASK_IDS, "created", "handling_days", *LATE_FEATURES), "late")  # read for the limit, the places and the rows
     late = workload.late_target(rows).select(*TASK_IDS, "created", *[F.col(c).cast("double").alias(c) for c in LATE_FEATURES], "late").na.drop()
     scored = folds.walk_forward(late, "created", TASK_IDS, LATE_FEATURES, "late", 20_000, 4_000)
     return rounded(scored.select(*TASK_IDS, "fold", "train_rows", "late", "score"), 6)

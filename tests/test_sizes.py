@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts, metrics, profile
+from opsloom.operators import accounts, folds, metrics, profile
 from opsloom.plans.catalogue import Tables
 
 
@@ -65,6 +65,19 @@ def test_split_does_not_deal_rows_by_label(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_folds_send_sums_per_piece(spark, monkeypatch):
+    sent, added = [], folds._added
+
+    def watched(parts, keys, size):
+        sent.append(parts.count())
+        return added(parts, keys, size)
+
+    monkeypatch.setattr(folds, "_added", watched)
+    rows = spark.range(2000).select(F.floor(F.col("id") / 40).alias("day"), "id", F.rand(1).alias("a"), F.rand(2).alias("y")).repartition(4, F.rand(3))
+    folds.walk_forward(rows, "day", ["id"], ["a"], "y", 200, 40).collect()
+    assert sent[0] <= 2000 // 40  # a row per piece
+
+
 def test_tasks_of_a_load_are_joined_once(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     assert t.once("v_tasks_clean") is t.once("v_tasks_clean")
