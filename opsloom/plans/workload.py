@@ -8,12 +8,12 @@ from opsloom.plans import workload_sql as W
 from opsloom.plans.catalogue import Tables, query, rounded
 
 
-def agent_days(t: Tables):
-    return workload.agent_days(t.view("v_tasks_clean"), t.view("v_agents"), t.view("v_absences"))
+def agent_days(t: Tables, tasks=None):
+    return workload.agent_days(t.view("v_tasks_clean") if tasks is None else tasks, t.view("v_agents"), t.view("v_absences"))
 
 
 def detail(t: Tables):
-    return workload.feature_detail(t.view("v_tasks_clean"), t.view("v_agents"), t.view("v_absences"))
+    return workload.feature_detail(t.once("v_tasks_clean"), t.view("v_agents"), t.view("v_absences"))
 
 
 @query("duration_features", f"""SELECT task_id, load_pos, {W.PICKUP} AS pickup_days, {W.HANDLING} AS handling_days,
@@ -126,7 +126,8 @@ def _(t: Tables):
 SELECT day, 'ALL' AS service, n_tasks, volume, r4(fte) AS fte, r4(load) AS load FROM load_day
 UNION ALL SELECT day, service, n_tasks, volume, r4(fte), r4(load) FROM load_service""")
 def _(t: Tables):
-    tasks, days = t.view("v_tasks_clean"), agent_days(t)
+    tasks = t.once("v_tasks_clean")
+    days = agent_days(t, tasks)
     total = workload.load_per_day(tasks, days).withColumn("service", F.lit("ALL"))
     return rounded(total.unionByName(workload.load_per_day_service(tasks, days)))
 
@@ -135,7 +136,8 @@ def _(t: Tables):
 SELECT day, 'ALL' AS service, r4(load) AS load, r4(threshold) AS threshold, alert FROM alert_day
 UNION ALL SELECT day, service, r4(load), r4(threshold), alert FROM alert_service""")
 def _(t: Tables):
-    tasks, days = t.view("v_tasks_clean"), agent_days(t)
+    tasks = t.once("v_tasks_clean")
+    days = agent_days(t, tasks)
     total = workload.overload_alert(workload.load_per_day(tasks, days)).withColumn("service", F.lit("ALL"))
     parts = workload.overload_alert(workload.load_per_day_service(tasks, days), ["service"])
     return rounded(total.unionByName(parts).select("day", "service", "load", "threshold", "alert"))
@@ -143,12 +145,12 @@ def _(t: Tables):
 
 @query("daily_global", f"WITH {W.LOADS} {W.DAILY_GLOBAL}")
 def _(t: Tables):
-    return rounded(workload.daily_global(t.view("v_tasks_clean"), agent_days(t)))
+    return rounded(workload.daily_global(t.once("v_tasks_clean"), agent_days(t, t.once("v_tasks_clean"))))
 
 
 @query("daily_service", f"WITH {W.LOADS} {W.DAILY_SERVICE}")
 def _(t: Tables):
-    return rounded(workload.daily_service(t.view("v_tasks_clean"), agent_days(t)))
+    return rounded(workload.daily_service(t.once("v_tasks_clean"), agent_days(t, t.once("v_tasks_clean"))))
 
 
 DETAIL_SQL = f"""SELECT t.*, {W.PICKUP} AS pickup_days, {W.HANDLING} AS handling_days, {W.RATE} AS items_per_hour, {W.RANK} AS complexity_rank,
@@ -183,7 +185,8 @@ def _(t: Tables):
 SELECT count(*) AS n_days, r4(max(abs(a.fte - b.fte))) AS max_gap, count(*) FILTER (WHERE abs(a.fte - b.fte) > 0.01) AS days_with_gap
 FROM load_day a JOIN (SELECT day, sum(fte) AS fte FROM load_service GROUP BY 1) b ON a.day = b.day""")
 def _(t: Tables):
-    tasks, days = t.view("v_tasks_clean"), agent_days(t)
+    tasks = t.once("v_tasks_clean")
+    days = agent_days(t, tasks)
     return rounded(workload.reconcile_totals(
         workload.load_per_day(tasks, days), workload.load_per_day_service(tasks, days), ["day"], "fte"))
 
