@@ -43,6 +43,20 @@ def test_classifiers_choose_the_best_candidate_and_rank_the_test_rows(parts, lea
     assert models.feature_importance(found.model, FEATURES, train.sparkSession, 2).count() == 2
 
 
+def test_rows_of_a_fit_are_dealt_evenly_over_the_cores(spark, parts, monkeypatch):
+    sizes = lambda df: df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    one_file = parts[0].coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes(models.dealt(one_file))) == cores and max(sizes(models.dealt(one_file))) <= 2 * 600 // cores
+    monkeypatch.setattr(models, "PIECE", 50)
+    assert len(sizes(models.dealt(one_file))) % cores == 0 and max(sizes(models.dealt(one_file))) <= 100
+    seen = []
+    monkeypatch.setattr(models, "_search", lambda grid, train, held, *_, **__: seen.extend([train, held]))
+    for learn in (models.train_rf_classifier, models.train_boosted_classifier, models.train_tree_classifier):
+        learn(one_file, parts[1].coalesce(1), FEATURES, "label")
+    assert len(seen) == 6 and all(len(sizes(df)) >= cores for df in seen)
+
+
 def test_settled_model_is_refitted_and_judged_on_test_rows_only(parts):
     train, held, test = parts
     families = {
