@@ -37,6 +37,12 @@ def test_payments_are_sent_once_per_side(spark, monkeypatch):
     assert "facet" in plan and planned.count("Exchange hashpartitioning") == 1
 
 
+def test_payments_become_facets_in_compiled_code(spark, monkeypatch):
+    monkeypatch.setattr(accounts, "hub_buckets", lambda *_: [])
+    plan = accounts.account_features(_ledger(spark))._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate explode" in plan and "lambdafunction" not in plan  # Spark interprets functions over arrays, and what contains them
+
+
 def test_description_reads_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
