@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from opsloom.operators import accounts, folds, metrics, profile
+from opsloom.operators import accounts, folds, metrics, profile, text
 from opsloom.plans.catalogue import Tables
 
 
@@ -43,6 +43,13 @@ def test_payments_become_facets_in_compiled_code(spark, monkeypatch):
     assert "Generate explode" in plan and "lambdafunction" not in plan  # Spark interprets functions over arrays, and what contains them
 
 
+def test_term_rows_are_sent_without_weights(spark):
+    rows = spark.createDataFrame([(k, ["a", f"b{k % 3}"]) for k in range(9)], "k long, tokens array<string>")
+    plan = text.tfidf_ngrams(rows, "k", "tokens")._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning(k", 1)  # what the texts are sent is computed below
+    assert "ln(" in above and "_w#" in above and "ln(" not in below and "_w#" not in below
+
+
 def test_description_reads_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
