@@ -80,6 +80,60 @@ def test_hot_names_are_not_gathered(spark, monkeypatch, tmp_path):
     assert gathered and max(gathered.values()) <= 4, gathered.most_common(2)  # before: all segments of the passage's ends
 
 
+def test_hot_segments_are_compared_by_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sb, "HOT", 4)
+    folder = str(tmp_path)
+
+    def counting(real):
+        def run(batches):
+            for batch in real(batches):
+                open(f"{folder}/{batch.num_rows}_{random.random()}", "w").close()
+                yield batch
+
+        return run
+
+    for step in ("_hot_parts", "_hot_windows"):
+        if hasattr(sb, step):
+            monkeypatch.setattr(sb, step, counting(getattr(sb, step)))
+    rng = random.Random(12)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1300))
+    rows = []
+    for k in range(80):  # one or two other letters each, some ends missing
+        text = list(base)
+        for at in rng.sample(range(1300), 1 + k % 2):
+            text[at] = "XY"[k % 2]
+        rows.append((k, "".join(text)[(k % 5) * 11 : 1300 - (k % 7) * 9]))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sb.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, plain(rows)))
+    kinds = {}
+    for _, text in rows:
+        for start, end, name, digest in zip(*sb.segments(np.frombuffer(text.encode(), np.uint8))):
+            kinds.setdefault(name, {})[digest] = end - start
+    windows = sum(sum(of.values()) for of in kinds.values() if len(of) > 4)
+    made = sum(int(p.name.split("_")[0]) for p in tmp_path.iterdir())
+    assert 0 < made < windows / 2, (made, windows)  # before: every window start of every hot segment
+
+
+def test_equal_windows_are_in_parts_with_equal_cores():
+    rng = random.Random(3)
+    prose = lambda n: bytes(rng.choice(b"abcd") for _ in range(n))
+    shared = prose(800)
+    cores = [{}, {}]
+    for k in range(2):
+        text = prose(150 * k) + shared + prose(90)
+        for start, end, *_ in zip(*sb.segments(np.frombuffer(text, np.uint8))):
+            data, seen = text[start : end + 399], []
+            for low, high, core, part in sb.parts(data):
+                assert len(part) == high - low + 400
+                for at in range(low, high + 1):
+                    cores[k][data[at : at + 400]] = core
+                    assert core in data[at : at + 400]
+                    seen.append(at)
+            assert sorted(seen) == list(range(end - start))
+    both = cores[0].keys() & cores[1].keys()
+    assert len(both) >= 401 and all(cores[0][w] == cores[1][w] for w in both)
+
+
 def test_merge_of_front_coded_runs():
     rng = random.Random(2)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 40))) for _ in range(700)] + [b"a" * 100] * 5
