@@ -50,6 +50,26 @@ def test_term_rows_are_sent_without_weights(spark):
     assert "ln(" in above and "_w#" in above and "ln(" not in below and "_w#" not in below
 
 
+def test_a_block_sends_its_terms_once(spark, monkeypatch):
+    sent, dealt = [], text.dealt_evenly
+
+    def watched(rows, block, parts):
+        if "term" in rows.columns:
+            sent.append(rows.count())
+        return dealt(rows, block, parts)
+
+    monkeypatch.setattr(text, "dealt_evenly", watched)
+    same = [(k, ["a", "b"]) for k in range(400)]
+    odd = [(None, ["b", None]), (None, ["b"]), (7, ["c\x1fd", ""]), (900, []), (901, None)]
+    found = text.tfidf_ngrams(spark.createDataFrame(same + odd, "k long, tokens array<string>"), "k", "tokens")
+    got = {(r["k"], r["term"]): (r["tf"], r["weight"]) for r in found.collect()}
+    assert sent[0] <= 4 * 3 + 5 and "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert len(got) == 400 * 3 + 1 + 3  # a null token is no term; [] and null have none
+    assert got[(None, "b")] == (2, 1.0) and {t for k, t in got if k == 7} == {"a", "b", "a b", "c\x1fd", "", "c\x1fd "}
+    one = [got[(5, t)][1] for t in ("a", "b", "a b")]
+    assert sum(w * w for w in one) == pytest.approx(1.0) and one[0] == pytest.approx(one[2]) and one[1] < one[0]
+
+
 def test_description_reads_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
