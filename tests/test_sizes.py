@@ -70,6 +70,30 @@ def test_a_block_sends_its_terms_once(spark, monkeypatch):
     assert sum(w * w for w in one) == pytest.approx(1.0) and one[0] == pytest.approx(one[2]) and one[1] < one[0]
 
 
+def test_wide_task_rows_are_dealt_once(spark, monkeypatch):
+    from opsloom.operators import workload
+
+    tasks = spark.range(300).selectExpr(
+        "id AS task_id", "id % 7 AS load_pos", "id % 11 AS agent_id", "if(id % 13 = 0, null, concat('s', id % 3)) AS service", "date_add(DATE '2024-01-01', CAST(id % 20 AS int)) AS created",
+        "date_add(DATE '2024-01-02', CAST(id % 20 AS int)) AS taken", "date_add(DATE '2024-01-04', CAST(id % 23 AS int)) AS closed", "CAST(id % 60 AS double) AS minutes",
+        "CAST(id % 90 AS int) AS volume", "'Simple' AS complexity", "'CDI' AS contract")
+    agents = spark.range(11).selectExpr("id AS agent_id", "'0.5' AS worktime", "DATE '2020-01-01' AS entered", "CAST(null AS date) AS contract_end")
+    absences = spark.createDataFrame([(3, dt.date(2024, 1, 2), dt.date(2024, 1, 6))], "agent_id long, start_date date, end_date date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {}
+        for most in (500_000, 0):
+            monkeypatch.setattr(workload, "MOST_SENT_DAYS", most)
+            wide = workload.feature_detail(tasks, agents, absences).select("task_id", "agent_day_fte", "service_fte", "service_load", "service_alert")
+            plan = wide._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+            found[most] = ("BroadcastHashJoin [created" in plan, sorted(map(str, wide.collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[500_000][0] and not found[0][0]
+    assert found[500_000][1] == found[0][1] and len(found[0][1]) == 300
+
+
 def test_description_reads_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
