@@ -185,6 +185,30 @@ def test_router_brings_no_terms_to_the_driver(spark, monkeypatch):
     assert max(sent) <= 4 and router.weights.count() > 500 and len(router.intercepts) == 2
 
 
+def test_router_sends_sums_per_core_and_keeps_packs(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, f"word{chr(97 + k % 5)} other{chr(97 + k % 7)} " + ("left" if k % 2 else "right"), "ab"[k % 2]) for k in range(120)], "id long, text string, intent string")
+    before, parts, by_core = spark.conf.get("spark.sql.shuffle.partitions"), [], models._by_core
+
+    def watched(cells):
+        parts.append(by_core(cells))
+        return parts[-1]
+
+    monkeypatch.setattr(models, "_by_core", watched)
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        found = []
+        for most in (65_536, 3):  # arrays of a term are cut, which changes nothing
+            monkeypatch.setattr(models, "PACK", most)
+            router = models.train_intent_router(rows, "text", "intent", ["id"], rounds=1)
+            found.append({r["term"]: (r["idf"], r["w0"], r["w1"]) for r in router.weights.collect()})
+        assert parts[0].rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism < 24
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found[0]) > 20 and found[0].keys() == found[1].keys()
+    for term, values in found[0].items():
+        assert found[1][term] == pytest.approx(values, rel=1e-9)
+
+
 def test_corpus_fingerprint_is_of_the_multiset(spark):
     rows = [(k % 5, f"text {k}") for k in range(40)] + [(1, None), (None, "x")]
 
